@@ -75,7 +75,7 @@ class TableContract:
     name: str
     schema: T.StructType
     primary_key: str
-    date_column: str
+    date_column: str | None = None
     version_column: str | None = "updated_at"
     modified_column: str | None = "MODIFIEDDATETIME"
     synced_column: str | None = "last_synced_at"
@@ -96,7 +96,7 @@ class TableContract:
 
     @property
     def key(self) -> list[str]:
-        if self.scope == "primary_key" or self.primary_key == self.date_column:
+        if self.scope == "primary_key" or self.date_column in (None, self.primary_key):
             return [self.primary_key]
         return [self.primary_key, self.date_column]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lakeload.contracts import TableContract, declared_type, integer_bounds
+from lakeload.contracts import DEFAULT, TableContract, declared_type, integer_bounds
 from lakeload.functions import casts
 from lakeload.functions.times import SENTINEL_BEFORE, ntz
 from lakeload.operators.conform import source_column, tolerant
@@ -143,3 +143,21 @@ def coercion_loss(df: DataFrame, contract: TableContract) -> DataFrame:
     totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *aggregates)
     return totals.select(F.inline(F.array(*rows)))
 
+
+def contract_profile(df: DataFrame, contract: TableContract) -> DataFrame:
+    """The contract as rows (position, type, nullability, default) with the values each column holds."""
+    fields = list(enumerate(contract.schema))
+    present = [(i, f) for i, f in fields if f.name in df.columns]
+    totals = df.agg(F.count(F.lit(1)), *(F.count(source_column(f.name)).alias(f"n{i}") for i, f in present))
+    rows = [
+        F.struct(
+            F.lit(i + 1).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(declared_type(f)).alias("declared"),
+            F.lit(f.nullable).alias("nullable"),
+            F.lit(f.metadata.get(DEFAULT)).cast("string").alias("default_text"),
+            (F.col(f"n{i}") if f.name in df.columns else F.lit(0).cast("long")).alias("n_values"),
+        )
+        for i, f in fields
+    ]
+    return totals.select(F.inline(F.array(*rows)))

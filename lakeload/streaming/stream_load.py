@@ -23,10 +23,11 @@ def stream_load(
     checkpoint: str,
     as_of: datetime | None = None,
     files_per_batch: int | None = None,
+    pattern: str | None = None,
     rejects_path: str | None = None,
     audit_path: str | None = None,
 ) -> StreamingQuery:
-    """Load all files not yet loaded, then stop (trigger ``availableNow``).
+    """Load all files not yet loaded (of those matching ``pattern``), then stop.
 
     The checkpoint remembers which files were loaded, which takes the place of
     the watermark filter.
@@ -35,6 +36,9 @@ def stream_load(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+
     def load(batch: DataFrame, batch_id: int) -> None:
         run_load(batch, table, "full", as_of, rejects_path, audit_path, run_id=f"batch-{batch_id}")
 

@@ -33,6 +33,8 @@ from lakeload.sources.files import existing_schema, require_same_columns
 
 class MonthTable:
     def __init__(self, spark: SparkSession, path: str, contract: TableContract) -> None:
+        if contract.date_column is None:
+            raise ValueError(f"{contract.name}: a month table needs a date column")
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
@@ -177,4 +179,4 @@ class MonthTable:
         by month would put it into one task; the order lets row-group
         statistics serve key lookups.
         """
-        return df.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.contract.primary_key)
+        return df.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, self.contract.primary_key)
