@@ -39,15 +39,18 @@ def conform(df: DataFrame, contract: TableContract, as_of: datetime | str | None
 
     ``as_of`` is the load time given to ``now()`` defaults.
     """
-    incoming = {f.name: f.dataType for f in df.schema}
-    columns = []
-    for f in contract.schema:
-        if f.name in incoming:
-            value = conformed(source_column(f.name), incoming[f.name], f, contract)
-        else:
-            value = added(df.sparkSession, f, contract, as_of)
-        columns.append(value.cast(f.dataType).alias(f.name))
-    return df.select(*columns)
+    return df.select(*(conformed_column(df, f, contract, as_of).alias(f.name) for f in contract.schema))
+
+
+def conformed_column(
+    df: DataFrame, f: T.StructField, contract: TableContract, as_of: datetime | str | None = None
+) -> Column:
+    """One declared column, from the batch or from its default."""
+    if f.name in df.columns:
+        value = conformed(source_column(f.name), df.schema[f.name].dataType, f, contract)
+    else:
+        value = added(df.sparkSession, f, contract, as_of)
+    return value.cast(f.dataType)
 
 
 def conformed(col: Column, source: T.DataType, f: T.StructField, contract: TableContract) -> Column:

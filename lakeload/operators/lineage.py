@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeload.operators.skew import hot_key_hashes, lookup_join
+from lakeload.operators.skew import hot_keys, lookup_join
 from lakeload.operators.versioned import latest_version
 
 
@@ -38,8 +38,8 @@ def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, header
     # hot keys are sketched on the inputs, not on joined intermediates, which
     # would be computed once more for it
     orders = _present(origins, "RECID", "REFERENCEID").select("RECID", "REFERENCEID")
-    hot_sale, hot_return = hot_key_hashes(moves, ["INVENTTRANSORIGIN"], ["RETURNINVENTTRANSORIGIN"])
-    (hot_order,) = hot_key_hashes(orders, ["REFERENCEID"])
+    hot_sale, hot_return = hot_keys(moves, ["INVENTTRANSORIGIN"], ["RETURNINVENTTRANSORIGIN"])
+    (hot_order,) = hot_keys(orders, ["REFERENCEID"])
 
     # origin -> transaction, only for the origins in some pair
     needed = pairs.select(F.explode(F.array(sale, ret)).alias("RECID"))

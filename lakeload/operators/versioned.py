@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakeload.contracts import TableContract
 from lakeload.functions.times import UNDATED_MONTH, minus_days, month_bucket, month_number, ntz, plus_years, to_second
 from lakeload.operators.conform import source_column
-from lakeload.operators.skew import lookup_join
+from lakeload.operators.skew import HotKeys, lookup_join
 
 MONTH = "p_month"
 
@@ -41,17 +41,15 @@ def latest_version(
 
 
 def latest_by_contract(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Newest row per contract key, replaced only within a month under sort-key scope.
+    """Newest row per contract key.
 
+    Under sort-key scope the key contains the date, so versions are replaced
+    within a month only.
     The greatest version wins, then the latest modification: equal versions
     come from one load, which inserts in modification order.
     """
-    key: list[str | Column] = list(contract.key)
-    if contract.scope == "sort_key":
-        # implied by the key's date; spelled out so it can prune and co-locate
-        key.insert(0, F.col(MONTH) if MONTH in df.columns else month_bucket(source_column(contract.date_column)))
     order = [c for c in (contract.version_column, contract.modified_column) if c is not None]
-    return latest_version(df, key, order, contract.tiebreak)
+    return latest_version(df, contract.key, order, contract.tiebreak)
 
 
 def with_month(df: DataFrame, date_column: str) -> DataFrame:
@@ -65,7 +63,7 @@ def classify_changes(
     modified: str,
     as_of: datetime | str | None = None,
     lookback_days: int | None = None,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """``incoming`` with column ``change``: ``new``, ``updated`` or ``unchanged``.
 
@@ -119,7 +117,7 @@ def changes_by_hash(
     existing: DataFrame,
     key: str,
     columns: Sequence[str] | None = None,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """``incoming`` with column ``change``: ``new``, ``changed`` or ``same`` by row content.
 

@@ -9,10 +9,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeload.functions.times import to_second
-from lakeload.operators.conform import conform, extra_columns, missing_columns
+from lakeload.functions.times import month_bucket, to_second
+from lakeload.operators.conform import conform, conformed_column, extra_columns, missing_columns
 from lakeload.operators.incremental import incremental_extract, lookback_extract, modified_time
 from lakeload.operators.quality import REASON, with_reason
+from lakeload.sources.files import read_or_empty
 from lakeload.tables import MonthTable
 
 MODES = ("full", "daily", "monthly")
@@ -70,7 +71,8 @@ def run_load(
     as_of = as_of or datetime.now()
     report = LoadReport(run_id or uuid.uuid4().hex, table.contract.name, mode, started_at=as_of)
     try:
-        _run(source, table, mode, as_of, rejects_path, report)
+        known = last_marks(table.spark, audit_path, table.contract.name) if audit_path else (None, None)
+        _run(source, table, mode, as_of, rejects_path, known, report)
     except Exception as error:
         report.status, report.error = "failed", str(error)[:2000]
         raise
@@ -81,11 +83,18 @@ def run_load(
 
 
 def _run(
-    source: DataFrame, table: MonthTable, mode: str, as_of: datetime, rejects_path: str | None, report: LoadReport
+    source: DataFrame,
+    table: MonthTable,
+    mode: str,
+    as_of: datetime,
+    rejects_path: str | None,
+    known: tuple[datetime | None, datetime | None],
+    report: LoadReport,
 ) -> None:
     contract = table.contract
     begun = time.monotonic()
-    synced, high_water = table.watermarks()
+    table.recover()
+    synced, high_water = table.watermarks(known)
     batch = source
     if mode != "full":
         if contract.modified_column is None:
@@ -100,14 +109,16 @@ def _run(
     timed = contract.modified_column is not None and contract.modified_column in batch.columns
     modified = modified_time(batch, contract.modified_column) if timed else F.lit(None).cast("timestamp_ntz")
     accepted_time = F.when(~rejected, to_second(modified))
+    day = conformed_column(batch, contract.schema[contract.date_column], contract, as_of)
     facts = tagged.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(rejected).alias("rows_rejected"),
         F.min(accepted_time).alias("modified_min"),
         F.max(accepted_time).alias("modified_max"),
+        F.collect_set(F.when(~rejected, month_bucket(day))).alias("months"),
     ).first()
-    for name, value in facts.asDict().items():
-        setattr(report, name, value)
+    for name in ("rows_read", "rows_rejected", "modified_min", "modified_max"):
+        setattr(report, name, facts[name])
     report.rows_accepted = report.rows_read - report.rows_rejected
     report.extract_seconds = time.monotonic() - begun
 
@@ -123,7 +134,7 @@ def _run(
         report.synced_at = max(report.modified_max, high_water) if high_water else report.modified_max
         mark = (report.modified_min, report.modified_max, report.synced_at)
     accepted = tagged.where(~rejected).drop(REASON)
-    report.rows_in_months = table.merge(conform(accepted, contract, as_of), mark)
+    report.rows_in_months = table.merge(conform(accepted, contract, as_of), mark, facts["months"])
     report.status = "loaded"
     report.load_seconds = time.monotonic() - begun
 
@@ -135,4 +146,10 @@ def record(spark: SparkSession, report: LoadReport, audit_path: str) -> None:
 
 
 def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
-    return spark.read.schema(_AUDIT).parquet(audit_path)
+    return read_or_empty(spark, audit_path, _AUDIT)
+
+
+def last_marks(spark: SparkSession, audit_path: str, table_name: str) -> tuple[datetime | None, datetime | None]:
+    """Latest sync mark and modification time among a table's successful runs."""
+    loaded = read_audit(spark, audit_path).where((F.col("table_name") == table_name) & (F.col("status") == "loaded"))
+    return tuple(loaded.agg(F.max("synced_at"), F.max("modified_max")).first())

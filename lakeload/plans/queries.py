@@ -349,7 +349,7 @@ def latest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latest_lineitem_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = versioned.with_month(table(spark, sf_dir, "lineitem"), "l_shipdate")
-    key = ["p_month", "l_orderkey", "l_linenumber"]
+    key = ["l_orderkey", "l_linenumber", "p_month"]
     return versioned.latest_version(lines, key, ["l_shipdate"], _LINE_TIES)
 
 
@@ -548,5 +548,8 @@ def stream_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sale_return_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = samples.return_tables(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+    path = run_dir(spark, "landed") + "/links.parquet"
+    lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    files.write_snapshot(samples.return_links(lineitem), path)
+    tables = samples.return_tables(lineitem, orders, files.read_landed(spark, path))
     return return_lineage(tables["link"], tables["moves"], tables["origins"], tables["headers"])

@@ -73,8 +73,8 @@ def orders_before_2000(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
 
 
-def return_tables(lineitem: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
-    """Link, moves, origins and headers out of order lines.
+def return_links(lineitem: DataFrame) -> DataFrame:
+    """Sold lines and the returns they are linked to.
 
     Each part and supplier links its first sold line to its last returned one
     if that came later in another order: one partial aggregation, however many
@@ -89,7 +89,11 @@ def return_tables(lineitem: DataFrame, orders: DataFrame) -> dict[str, DataFrame
         F.min(F.when(F.col("l_returnflag") == "N", line)).alias("sale"),
         F.max(F.when(F.col("l_returnflag") == "R", line)).alias("ret"),
     )
-    links = ends.where("sale.day < ret.day AND sale.order <> ret.order")
+    return ends.where("sale.day < ret.day AND sale.order <> ret.order")
+
+
+def return_tables(lineitem: DataFrame, orders: DataFrame, links: DataFrame) -> dict[str, DataFrame]:
+    """The four lineage inputs: link, moves, origins and headers."""
     named = links.groupBy(F.col("ret.order").alias("o_orderkey")).agg(F.max("sale.order").alias("named"))
     closed = F.when(F.col("o_orderstatus") == "P", "ST-open").otherwise(F.concat(F.lit("ST-"), F.col("o_orderkey")))
     return {

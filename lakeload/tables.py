@@ -2,15 +2,19 @@
 
 Plain Parquet files know no update or delete, so every change reads the months
 it touches, transforms them and replaces them. The new months are first written
-to a staging folder: the table is only touched once its replacement is complete
-on disk, and the staged copy is dropped only after that. Replacing is
-idempotent, so a run that died can simply be run again.
+to a staging folder with a note of what they replace: the table is only touched
+once its replacement is complete on disk. If the driver dies while months are
+being swapped, the next change finds the note and finishes the swap first.
+A table has one writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, datetime
+from functools import reduce
+from hashlib import md5
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,8 +31,10 @@ from lakeload.operators.versioned import (
     retained,
     with_month,
 )
-from lakeload.scratch import run_dir
-from lakeload.sources.files import existing_schema, require_same_columns
+from lakeload.scratch import shared_dir
+from lakeload.sources.files import read_or_empty, require_same_columns
+
+_NOTE = "month int, n_rows long"
 
 
 class MonthTable:
@@ -41,15 +47,12 @@ class MonthTable:
         plain = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
         self.schema = T.StructType(plain)
         self._stored = T.StructType([*plain, T.StructField(MONTH, T.IntegerType(), True)])
-
-    def exists(self) -> bool:
-        return existing_schema(self.spark, self.path) is not None
+        name = f"{shared_dir(spark)}/lakeload/swap-{md5(self.path.encode()).hexdigest()}"
+        self._staging, self._note = f"{name}/rows", f"{name}/note"
 
     def read(self, months: Iterable[int] | None = None) -> DataFrame:
         """Rows with their month column, optionally of some months only (partition pruning)."""
-        if not self.exists():
-            return self.spark.createDataFrame([], self._stored)
-        df = self.spark.read.schema(self._stored).parquet(self.path)
+        df = read_or_empty(self.spark, self.path, self._stored)
         return df if months is None else df.where(F.col(MONTH).isin(sorted(months)))
 
     def current(self) -> DataFrame:
@@ -65,11 +68,25 @@ class MonthTable:
         rows = self.read() if where is None else self.read().where(where)
         return sorted(r[0] for r in rows.select(MONTH).distinct().collect())
 
-    def watermarks(self) -> tuple[datetime | None, datetime | None]:
-        """(last sync mark, last modification) in one narrow scan; None where unset."""
+    def watermarks(
+        self, known: tuple[datetime | None, datetime | None] = (None, None)
+    ) -> tuple[datetime | None, datetime | None]:
+        """(last sync mark, last modification) in one narrow scan; None where unset.
+
+        ``known`` are values believed to occur in the table, such as those of
+        the last audited run. Only rows at least that late are looked at first,
+        which lets file statistics skip nearly everything; if there are none
+        after all, the whole columns are read.
+        """
         names = [self.contract.synced_column, self.contract.modified_column]
         picks = [F.max(c) if c else F.lit(None).cast("timestamp_ntz") for c in names]
-        row = self.read().agg(*(p.alias(f"w{i}") for i, p in enumerate(picks))).first()
+        picks = [p.alias(f"w{i}") for i, p in enumerate(picks)]
+        bounds = [F.col(c) >= ntz(at) for c, at in zip(names, known) if c and at]
+        if bounds and len(bounds) == sum(c is not None for c in names):
+            late = self.read().where(reduce(or_, bounds)).agg(*picks).first()
+            if all(late[i] and late[i] >= at for i, (c, at) in enumerate(zip(names, known)) if c):
+                return late["w0"], late["w1"]
+        row = self.read().agg(*picks).first()
         return row["w0"], row["w1"]
 
     def append(self, df: DataFrame) -> None:
@@ -77,21 +94,27 @@ class MonthTable:
         require_same_columns(df.schema, self.schema)
         self._shaped(with_month(df, self.contract.date_column)).write.mode("append").partitionBy(MONTH).parquet(self.path)
 
-    def merge(self, batch: DataFrame, mark: tuple[datetime, datetime, datetime] | None = None) -> int:
+    def merge(
+        self,
+        batch: DataFrame,
+        mark: tuple[datetime, datetime, datetime] | None = None,
+        months: Iterable[int] | None = None,
+    ) -> int:
         """Add conformed rows and keep the newest version of every record.
 
         ``mark`` is (first, last, value): the sync mark of all rows modified in
         that range, set in the same rewrite, so data and mark appear together.
-        Returns the rows now in the rewritten months.
+        ``months`` are the batch's months if already known. Returns the rows
+        now in the rewritten months.
         """
         require_same_columns(batch.schema, self.schema)
+        self.recover()
         batch = with_month(batch, self.contract.date_column)
-        touched = {r[0] for r in batch.select(MONTH).distinct().collect()}
-        if self.exists():
-            touched.update(self._months_of_same_records(batch))
-            if mark is not None:
-                modified = F.col(self.contract.modified_column)
-                touched.update(self.months(modified.between(to_second(ntz(mark[0])), to_second(ntz(mark[1])))))
+        if months is None:
+            months = [r[0] for r in batch.select(MONTH).distinct().collect()]
+        touched = {*months, *self._months_of_same_records(batch)}
+        if mark is not None:
+            touched.update(self.months(self._modified_between(mark[0], mark[1])))
         merged = latest_by_contract(self.read(touched).unionByName(batch), self.contract)
         if mark is not None:
             merged = mark_synced(
@@ -99,6 +122,9 @@ class MonthTable:
             )
         return self.replace(merged, touched)
 
+    def _modified_between(self, first: datetime | str, last: datetime | str) -> Column:
+        return F.col(self.contract.modified_column).between(to_second(ntz(first)), to_second(ntz(last)))
+
     def _months_of_same_records(self, batch: DataFrame) -> list[int]:
         """Months outside the batch's own that hold other versions of its records."""
         if self.contract.scope == "sort_key":
@@ -111,11 +137,13 @@ class MonthTable:
         """Keep only the newest version of each record (within the given months)."""
         if self.contract.scope == "primary_key" and months is not None:
             raise ValueError("one row per primary key concerns all months")
+        self.recover()
         months = set(self.months() if months is None else months)
         return self.replace(latest_by_contract(self.read(months), self.contract), months)
 
     def delete(self, predicate: str | Column) -> int:
         """Remove the rows a predicate holds for; other months are not rewritten."""
+        self.recover()
         touched = self.months(condition(predicate))
         return self.replace(delete_where(self.read(touched), predicate), touched)
 
@@ -123,12 +151,15 @@ class MonthTable:
         self, value: datetime | str, first: datetime | str | None = None, last: datetime | str | None = None
     ) -> int:
         """Set the sync mark of rows modified in a range, or of all rows."""
-        modified = self.contract.modified_column if first is not None else None
-        where = None
-        if modified is not None:
-            where = F.col(modified).between(to_second(ntz(first)), to_second(ntz(last)))
-        touched = self.months(where)
-        marked = mark_synced(self.read(touched), self.contract.synced_column, value, modified, first, last)
+        self.recover()
+        if first is None:
+            touched = self.months()
+            marked = mark_synced(self.read(touched), self.contract.synced_column, value)
+        else:
+            touched = self.months(self._modified_between(first, last))
+            marked = mark_synced(
+                self.read(touched), self.contract.synced_column, value, self.contract.modified_column, first, last
+            )
         return self.replace(marked, touched)
 
     def retain(self, as_of: date | datetime) -> int:
@@ -136,6 +167,7 @@ class MonthTable:
         years = self.contract.retention_years
         if years is None:
             return 0
+        self.recover()
         day = self.contract.date_column
         boundary = as_of.replace(day=1, year=as_of.year - years)
         expired = [m for m in self.months(F.col(MONTH) <= month_number(boundary)) if m != UNDATED_MONTH]
@@ -147,30 +179,41 @@ class MonthTable:
         months = set(months)
         if not months:
             return 0
-        staging = run_dir(self.spark, "staging")
         month = month_bucket(F.col(self.contract.date_column))
         rows = df.select(*self.schema.names, month.alias(MONTH))
-        self._shaped(rows).write.partitionBy(MONTH).parquet(staging)
+        self._shaped(rows).write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
+        filled = {r[0]: r[1] for r in self._staged().groupBy(MONTH).count().collect()}
+        if not set(filled) <= months:
+            raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
+        note = [(m, filled.get(m, 0)) for m in sorted(months)]
+        self.spark.createDataFrame(note, _NOTE).coalesce(1).write.mode("overwrite").parquet(self._note)
+        self._swap(note)
+        return sum(filled.values())
 
-        if existing_schema(self.spark, staging) is None:
-            filled = {}
-        else:
-            staged = self.spark.read.schema(self._stored).parquet(staging)
-            filled = {r[0]: r[1] for r in staged.groupBy(MONTH).count().collect()}
-            if not set(filled) <= months:
-                raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
+    def recover(self) -> bool:
+        """Finish a swap that a dead driver left behind; True if there was one."""
+        note = [(r[0], r[1]) for r in read_or_empty(self.spark, self._note, _NOTE).collect()]
+        if note:
+            self._swap(note)
+        return bool(note)
+
+    def _swap(self, note: list[tuple[int, int]]) -> None:
+        """Put the staged months in place; doing it twice gives the same table."""
+        if any(n for _, n in note):
             # every staged file lies in one month, so this copy needs no shuffle
-            writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = self._staged().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(MONTH).parquet(self.path)
-        self._empty(months - set(filled))
-        self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(staging)
-        return sum(filled.values())
+        for month, n in note:
+            if n == 0:  # an overwrite by month leaves months without new rows as they were
+                self._nothing(self.schema).write.mode("overwrite").parquet(f"{self.path}/{MONTH}={month}")
+        self._nothing(_NOTE).write.mode("overwrite").parquet(self._note)
+        self._nothing(self.schema).write.mode("overwrite").parquet(self._staging)
+
+    def _staged(self) -> DataFrame:
+        return read_or_empty(self.spark, self._staging, self._stored)
 
-    def _empty(self, months: Iterable[int]) -> None:
-        """Clear months that no longer have rows; an overwrite by month skips those."""
-        for month in sorted(months):
-            nothing = self.spark.createDataFrame([], self.schema)
-            nothing.write.mode("overwrite").parquet(f"{self.path}/{MONTH}={month}")
+    def _nothing(self, schema: T.StructType | str) -> DataFrame:
+        return self.spark.createDataFrame([], schema).coalesce(1)
 
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Well-sized files: small months in one, a large month in several, sorted by key.

@@ -168,7 +168,7 @@ def test_delete_empties_months_and_leaves_others_alone(spark, table):
     assert sorted(os.listdir(kept)) == files_before
     assert table.months() == [0, 202501]
     table.delete("true")
-    assert table.read().count() == 0 and table.exists()
+    assert table.read().count() == 0 and table.months() == []
     run_load(frame(spark, FIRST), table, "full", T2)
     assert table.read().count() == 5
 
@@ -203,6 +203,39 @@ def test_replacing_refuses_rows_of_other_months(spark, table):
     assert table.read().count() == 5
 
 
+def test_swap_interrupted_at_any_point_is_finished_later(spark, table, monkeypatch):
+    """The driver dies before, within and after the swap; the change is applied exactly once."""
+    run_load(frame(spark, FIRST), table, "full", T1)
+    expected = rows(table.read().where("NAME <> 'one' AND RECID <> 3"), "*")
+
+    with monkeypatch.context() as dying:
+        dying.setattr(MonthTable, "_swap", lambda self, note: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            table.delete("NAME = 'one' OR RECID = 3")
+    assert table.read().count() == 5
+    # one month was already swapped out, the other deleted but not yet replaced
+    table._nothing(table.schema).write.mode("overwrite").parquet(f"{table.path}/p_month=202501")
+    fresh = MonthTable(spark, table.path, CONTRACT)
+    assert fresh.recover()
+    assert rows(fresh.read(), "*") == expected
+    assert not fresh.recover()
+
+
+def test_watermark_hints_do_not_change_the_answer(spark, table):
+    run_load(frame(spark, FIRST), table, "full", T1)
+    true = table.watermarks()
+    early, late = D(2025, 1, 1), D(2026, 1, 1)
+    for known in [(early, early), true, (late, late), (late, None), (early, late), (None, None)]:
+        assert table.watermarks(known) == true
+
+
+def test_audited_loads_use_the_last_marks(spark, table, tmp_path):
+    audit = str(tmp_path / "runs")
+    run_load(frame(spark, FIRST), table, "daily", T1, audit_path=audit)
+    again = run_load(frame(spark, FIRST), table, "daily", T2, audit_path=audit)
+    assert (again.rows_read, again.rows_accepted) == (2, 1)
+
+
 def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     """A third of all rows in one month must not end up in one file."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")

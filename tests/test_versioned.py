@@ -196,10 +196,11 @@ def skewed(spark):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    (found,) = skew.hot_key_hashes(skewed, ["k"])
+    found, spread = skew.hot_keys(skewed, ["k"], ["k", "ts"])
     expected = spark.createDataFrame([(1,)], "k int").select(F.xxhash64("k")).first()[0]
-    assert found == [expected]
-    assert skew.hot_key_hashes(skewed.where("false"), ["k"]) == [[]]
+    assert found == {expected: 8}  # a third of the rows is 2.7 of 8 tasks
+    assert len(spread) == 1  # the exact copies
+    assert skew.hot_keys(skewed.where("false"), ["k"]) == [{}]
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
