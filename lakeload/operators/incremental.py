@@ -74,8 +74,13 @@ def batch_bounds(df: DataFrame, modified: str) -> DataFrame:
 
 
 def by_modified(df: DataFrame, modified: str) -> DataFrame:
-    """Oldest change first, undated rows last; a range shuffle, only for output order."""
-    return df.orderBy(modified_time(df, modified).asc_nulls_last())
+    """Oldest change first, undated rows last; a range shuffle, only for output order.
+
+    Rows of one instant are further ordered by content and origin, so that a
+    range boundary can fall among them however many there are.
+    """
+    ts = modified_time(df, modified)
+    return df.orderBy(ts.asc_nulls_last(), F.xxhash64(*df.columns), F.spark_partition_id())
 
 
 def point_lookup(df: DataFrame, key: str, value: object) -> DataFrame:

@@ -7,9 +7,9 @@ import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from lakeload.functions.times import month_bucket, to_second
+from lakeload.functions.times import month_bucket, ntz, to_second
 from lakeload.operators.conform import conform, conformed_column, extra_columns, missing_columns
 from lakeload.operators.incremental import incremental_extract, lookback_extract, modified_time
 from lakeload.operators.quality import REASON, with_reason
@@ -18,15 +18,6 @@ from lakeload.tables import MonthTable
 
 MODES = ("full", "daily", "monthly")
 
-_AUDIT = (
-    "run_id string, table_name string, mode string, status string, started_at timestamp_ntz, "
-    "modified_min timestamp_ntz, modified_max timestamp_ntz, synced_at timestamp_ntz, "
-    "rows_read long, rows_rejected long, rows_accepted long, rows_in_months long, "
-    "dropped_columns array<string>, added_columns array<string>, "
-    "extract_seconds double, load_seconds double, error string"
-)
-
-
 @dataclass
 class LoadReport:
     """What one run did; one row of the audit table."""
@@ -50,6 +41,31 @@ class LoadReport:
     error: str | None = None
 
 
+_TEXT, _COUNT, _TIME, _SECONDS = T.StringType(), T.LongType(), T.TimestampNTZType(), T.DoubleType()
+_NAMES = T.ArrayType(T.StringType())
+_AUDIT = T.StructType(
+    [
+        T.StructField("run_id", _TEXT),
+        T.StructField("table_name", _TEXT),
+        T.StructField("mode", _TEXT),
+        T.StructField("status", _TEXT),
+        T.StructField("started_at", _TIME),
+        T.StructField("modified_min", _TIME),
+        T.StructField("modified_max", _TIME),
+        T.StructField("synced_at", _TIME),
+        T.StructField("rows_read", _COUNT),
+        T.StructField("rows_rejected", _COUNT),
+        T.StructField("rows_accepted", _COUNT),
+        T.StructField("rows_in_months", _COUNT),
+        T.StructField("dropped_columns", _NAMES),
+        T.StructField("added_columns", _NAMES),
+        T.StructField("extract_seconds", _SECONDS),
+        T.StructField("load_seconds", _SECONDS),
+        T.StructField("error", _TEXT),
+    ]
+)
+
+
 def run_load(
     source: DataFrame,
     table: MonthTable,
@@ -141,10 +157,19 @@ def _run(
 
 def record(spark: SparkSession, report: LoadReport, audit_path: str) -> None:
     """Append the run to the audit table; repeating a run id replaces its row."""
-    row = spark.createDataFrame([tuple(asdict(report).values())], _AUDIT)
+    values = asdict(report)
+    row = spark.range(1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in _AUDIT))
     row.coalesce(1).write.mode("overwrite").parquet(f"{audit_path}/run={report.run_id}")
 
 
+def _literal(value: object, spark_type: T.DataType) -> Column:
+    if isinstance(value, datetime):
+        return ntz(value)
+    if isinstance(value, list):
+        return F.array(*(F.lit(v) for v in value)).cast(spark_type)
+    return F.lit(value).cast(spark_type)
+
+
 def read_audit(spark: SparkSession, audit_path: str) -> DataFrame:
     return read_or_empty(spark, audit_path, _AUDIT)
 

@@ -186,6 +186,15 @@ ORACLE: dict[str, str] = {
                o_totalprice, o_orderdate, o_orderpriority,
                CASE WHEN o_orderstatus = 'F' THEN {_SECOND} ELSE {_FIRST} END AS updated_at, {_ORDER_MONTH}
         FROM orders""",
+    "upsert_table": f"""
+        WITH {_ORDER_CHANGES},
+        applied AS (
+            SELECT c.* FROM changes c LEFT JOIN target t ON c.o_orderkey = t.o_orderkey
+            WHERE t.o_orderkey IS NULL OR c.o_orderdate > t.o_orderdate)
+        SELECT {_ORDER_COLUMNS}, {_SECOND} AS updated_at, {_ORDER_MONTH} FROM applied
+        UNION ALL
+        SELECT {_ORDER_COLUMNS}, {_FIRST} AS updated_at, {_ORDER_MONTH}
+        FROM (SELECT t.* FROM target t ANTI JOIN applied a ON t.o_orderkey = a.o_orderkey)""",
     "moved_records": f"""
         SELECT {_ORDER_COLUMNS}, updated_at, {_ORDER_MONTH}
         FROM (SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 40 DAY

@@ -449,6 +449,16 @@ def moved_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read().drop("last_synced_at")
 
 
+@query
+def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change batch applied to a stored table: a day later is a change, the same day is not."""
+    target = MonthTable(spark, run_dir(spark, "orders"), ORDERS)
+    orders = table(spark, sf_dir, "orders")
+    target.append(stamped(orders_before_2000(orders), ORDERS, FIRST_LOAD))
+    target.upsert(stamped(order_changes(orders), ORDERS, SECOND_LOAD))
+    return target.read().drop("last_synced_at")
+
+
 @query
 def table_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletes whole months and single rows; emptied months must really be empty."""

@@ -16,14 +16,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder of its
     own; on a cluster that folder would exist on one machine only.
     """
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="lakeload-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="lakeload-"))
+    return context.getCheckpointDir()
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:

@@ -75,16 +75,21 @@ def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
         raise
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet files of a known schema, no rows if the path does not exist yet; reads no footers."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
+            return no_rows(spark, schema)
         raise
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame, without going through Python data."""
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def require_same_columns(incoming: T.StructType, existing: T.StructType) -> None:
     got = [(f.name, f.dataType) for f in incoming]
     want = [(f.name, f.dataType) for f in existing]

@@ -29,12 +29,13 @@ from lakeload.operators.versioned import (
     mark_synced,
     months_between,
     retained,
+    upsert,
     with_month,
 )
 from lakeload.scratch import shared_dir
-from lakeload.sources.files import read_or_empty, require_same_columns
+from lakeload.sources.files import no_rows, read_or_empty, require_same_columns
 
-_NOTE = "month int, n_rows long"
+_NOTE = T.StructType([T.StructField(MONTH, T.IntegerType()), T.StructField("n_rows", T.LongType())])
 
 
 class MonthTable:
@@ -112,7 +113,9 @@ class MonthTable:
         batch = with_month(batch, self.contract.date_column)
         if months is None:
             months = [r[0] for r in batch.select(MONTH).distinct().collect()]
-        touched = {*months, *self._months_of_same_records(batch)}
+        touched = set(months)
+        if self.contract.scope == "primary_key":  # a sort key contains the date, hence the month
+            touched.update(self._months_of_records(batch))
         if mark is not None:
             touched.update(self.months(self._modified_between(mark[0], mark[1])))
         merged = latest_by_contract(self.read(touched).unionByName(batch), self.contract)
@@ -122,13 +125,24 @@ class MonthTable:
             )
         return self.replace(merged, touched)
 
+    def upsert(self, batch: DataFrame) -> int:
+        """Insert new records and replace those modified later in ``batch``, whatever month they are in.
+
+        Unlike :meth:`merge`, a row that was not modified later changes
+        nothing, however recently it was loaded.
+        """
+        require_same_columns(batch.schema, self.schema)
+        self.recover()
+        batch = with_month(batch, self.contract.date_column)
+        touched = {r[0] for r in batch.select(MONTH).distinct().collect()} | set(self._months_of_records(batch))
+        changed = upsert(self.read(touched), batch, [self.contract.primary_key], self.contract.modified_column)
+        return self.replace(changed, touched)
+
     def _modified_between(self, first: datetime | str, last: datetime | str) -> Column:
         return F.col(self.contract.modified_column).between(to_second(ntz(first)), to_second(ntz(last)))
 
-    def _months_of_same_records(self, batch: DataFrame) -> list[int]:
-        """Months outside the batch's own that hold other versions of its records."""
-        if self.contract.scope == "sort_key":
-            return []  # the key contains the date, hence the month
+    def _months_of_records(self, batch: DataFrame) -> list[int]:
+        """Months that hold versions of a batch's records, from the key column alone."""
         key = self.contract.primary_key
         known = self.read().select(key, MONTH).join(batch.select(key), key, "left_semi")
         return [r[0] for r in known.select(MONTH).distinct().collect()]
@@ -186,7 +200,8 @@ class MonthTable:
         if not set(filled) <= months:
             raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
         note = [(m, filled.get(m, 0)) for m in sorted(months)]
-        self.spark.createDataFrame(note, _NOTE).coalesce(1).write.mode("overwrite").parquet(self._note)
+        values = ", ".join(f"({m}, {n}L)" for m, n in note)
+        self.spark.sql(f"SELECT * FROM VALUES {values} AS note({MONTH}, n_rows)").write.mode("overwrite").parquet(self._note)
         self._swap(note)
         return sum(filled.values())
 
@@ -205,16 +220,13 @@ class MonthTable:
             writer.partitionBy(MONTH).parquet(self.path)
         for month, n in note:
             if n == 0:  # an overwrite by month leaves months without new rows as they were
-                self._nothing(self.schema).write.mode("overwrite").parquet(f"{self.path}/{MONTH}={month}")
-        self._nothing(_NOTE).write.mode("overwrite").parquet(self._note)
-        self._nothing(self.schema).write.mode("overwrite").parquet(self._staging)
+                no_rows(self.spark, self.schema).write.mode("overwrite").parquet(f"{self.path}/{MONTH}={month}")
+        no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
+        no_rows(self.spark, self.schema).write.mode("overwrite").parquet(self._staging)
 
     def _staged(self) -> DataFrame:
         return read_or_empty(self.spark, self._staging, self._stored)
 
-    def _nothing(self, schema: T.StructType | str) -> DataFrame:
-        return self.spark.createDataFrame([], schema).coalesce(1)
-
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Well-sized files: small months in one, a large month in several, sorted by key.
 

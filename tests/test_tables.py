@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from lakeload.contracts import TableContract, column
+from lakeload.operators.conform import conform
 from lakeload.plans.load import read_audit, run_load
 from lakeload.scratch import shared_dir
 from lakeload.sources import files, jdbc
@@ -144,6 +145,24 @@ def test_record_that_changes_month(spark, tmp_path, scope, expected):
     assert target.months() == expected
 
 
+def test_upsert_replaces_only_later_modifications_across_months(spark, table):
+    run_load(frame(spark, FIRST), table, "full", T1)
+    batch = frame(
+        spark,
+        [
+            ("1", "moved", "2025-04-01", "2025-04-01 00:00:00"),
+            ("2", "stale", "2025-01-20", "2025-01-02 00:00:00"),
+            ("3", "same time", "2025-02-03", "2025-02-04 10:00:00"),
+            ("9", "new", "2025-02-03", "2025-02-04 10:00:00"),
+        ],
+    )
+    for _ in range(2):
+        table.upsert(conform(batch, CONTRACT, T2))
+        got = rows(table.read(), "RECID", "NAME", "p_month")
+        assert [r[:2] for r in got] == [(1, "moved"), (2, "two"), (3, "three"), (4, "undated"), (5, "ancient"), (9, "new")]
+        assert got[0][2] == 202504
+
+
 def test_append_then_compact(spark, table):
     run_load(frame(spark, FIRST), table, "full", T1)
     newer = table.read().drop("p_month").where("RECID = 1").withColumns(
@@ -214,7 +233,7 @@ def test_swap_interrupted_at_any_point_is_finished_later(spark, table, monkeypat
             table.delete("NAME = 'one' OR RECID = 3")
     assert table.read().count() == 5
     # one month was already swapped out, the other deleted but not yet replaced
-    table._nothing(table.schema).write.mode("overwrite").parquet(f"{table.path}/p_month=202501")
+    files.no_rows(spark, table.schema).write.mode("overwrite").parquet(f"{table.path}/p_month=202501")
     fresh = MonthTable(spark, table.path, CONTRACT)
     assert fresh.recover()
     assert rows(fresh.read(), "*") == expected
