@@ -85,9 +85,9 @@ def wall_clock(col: Column, source: T.DataType) -> Column:
         return col.cast("timestamp_ntz")
     if isinstance(source, T.StringType):
         return col.try_cast("timestamp_ntz")
-    if isinstance(source, T.IntegralType):
-        # whole numbers are nanoseconds since the epoch
-        seconds = F.make_dt_interval(secs=(col / 1e9).cast("decimal(18,6)"))
+    if isinstance(source, T.NumericType):
+        # numbers are nanoseconds since the epoch
+        seconds = F.make_dt_interval(secs=(col.try_cast("long") / 1e9).cast("decimal(18,6)"))
         return F.lit("1970-01-01").cast("timestamp_ntz") + seconds
     return F.lit(None).cast("timestamp_ntz")
 

@@ -13,6 +13,7 @@ from lakeload.functions.times import month_bucket, ntz, to_second
 from lakeload.operators.conform import conform, conformed_column, extra_columns, missing_columns
 from lakeload.operators.incremental import incremental_extract, lookback_extract, modified_time
 from lakeload.operators.quality import REASON, with_reason
+from lakeload.operators.versioned import mark_synced
 from lakeload.sources.files import read_or_empty
 from lakeload.tables import MonthTable
 
@@ -74,12 +75,16 @@ def run_load(
     rejects_path: str | None = None,
     audit_path: str | None = None,
     run_id: str | None = None,
+    defer_merge: bool = False,
 ) -> LoadReport:
     """Load the new part of ``source`` into ``table``.
 
     ``daily`` takes rows modified at or after the table's last sync mark,
     ``monthly`` those after the mark minus a calendar month, ``full`` all.
-    Nothing new means status ``skipped``. The mark moves only together with
+    Nothing new means status ``skipped``. With ``defer_merge`` the batch is
+    only appended, which costs no rewrite of the months it touches: readers use
+    :meth:`MonthTable.current` and a later :meth:`MonthTable.compact` merges;
+    the mark is then set on the batch's own rows. The mark moves only together with
     rows that were loaded; a failed run is recorded, then raised.
     """
     if mode not in MODES:
@@ -88,7 +93,7 @@ def run_load(
     report = LoadReport(run_id or uuid.uuid4().hex, table.contract.name, mode, started_at=as_of)
     try:
         known = last_marks(table.spark, audit_path, table.contract.name) if audit_path else (None, None)
-        _run(source, table, mode, as_of, rejects_path, known, report)
+        _run(source, table, mode, as_of, rejects_path, known, defer_merge, report)
     except Exception as error:
         report.status, report.error = "failed", str(error)[:2000]
         raise
@@ -105,6 +110,7 @@ def _run(
     as_of: datetime,
     rejects_path: str | None,
     known: tuple[datetime | None, datetime | None],
+    defer_merge: bool,
     report: LoadReport,
 ) -> None:
     contract = table.contract
@@ -150,7 +156,14 @@ def _run(
         report.synced_at = max(report.modified_max, high_water) if high_water else report.modified_max
         mark = (report.modified_min, report.modified_max, report.synced_at)
     accepted = tagged.where(~rejected).drop(REASON)
-    report.rows_in_months = table.merge(conform(accepted, contract, as_of), mark, facts["months"])
+    ready = conform(accepted, contract, as_of)
+    if defer_merge:
+        if mark is not None:
+            marked = mark_synced(ready, contract.synced_column, mark[2], contract.modified_column, mark[0], mark[1])
+            ready = marked.select(*contract.schema.names)
+        table.append(ready)
+    else:
+        report.rows_in_months = table.merge(ready, mark, facts["months"])
     report.status = "loaded"
     report.load_seconds = time.monotonic() - begun
 

@@ -30,6 +30,17 @@ _LOADED_EVENTS = f"""
     FROM events
 """
 
+_DAILY_EVENTS = f"""
+    WITH bounds AS (
+        SELECT date_trunc('second', max(ts) FILTER (ts < TIMESTAMP '2024-01-15')) AS first_mark,
+               date_trunc('second', max(ts)) AS second_mark FROM events)
+    SELECT {_EVENT_COLUMNS},
+           CASE WHEN date_trunc('second', events.ts) >= first_mark THEN second_mark ELSE first_mark END
+               AS last_synced_at,
+           CASE WHEN events.ts >= first_mark THEN {_SECOND} ELSE {_FIRST} END AS updated_at
+    FROM events, bounds
+"""
+
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "scan_csv": "SELECT * FROM orders",
@@ -214,14 +225,8 @@ ORACLE: dict[str, str] = {
         FROM orders""",
     "load_events": _LOADED_EVENTS,
     "stream_load_events": _LOADED_EVENTS,
-    "daily_load": f"""
-        WITH bounds AS (
-            SELECT date_trunc('second', max(ts) FILTER (ts < TIMESTAMP '2024-01-15')) AS first_mark,
-                   date_trunc('second', max(ts)) AS second_mark FROM events)
-        SELECT {_EVENT_COLUMNS},
-               CASE WHEN date_trunc('second', ts) >= first_mark THEN second_mark ELSE first_mark END AS last_synced_at,
-               CASE WHEN ts >= first_mark THEN {_SECOND} ELSE {_FIRST} END AS updated_at, {_EVENT_MONTH}
-        FROM events, bounds""",
+    "daily_load": f"SELECT *, {_EVENT_MONTH} FROM ({_DAILY_EVENTS})",
+    "deferred_load": _DAILY_EVENTS,
     "monthly_load": f"""
         WITH bounds AS (SELECT max(o_orderdate) AS mark FROM orders)
         SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice,

@@ -502,6 +502,16 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@query
+def deferred_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily loads appended without a rewrite; reading picks the newest versions."""
+    events = table(spark, sf_dir, "events")
+    target = MonthTable(spark, run_dir(spark, "events"), EVENTS)
+    run_load(events.where(F.col("ts") < times.ntz("2024-01-15")), target, "daily", FIRST_LOAD, defer_merge=True)
+    run_load(events, target, "daily", SECOND_LOAD, defer_merge=True)
+    return target.current()
+
+
 @query
 def monthly_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load of orders, then a monthly re-read of the last calendar month."""

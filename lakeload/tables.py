@@ -11,6 +11,7 @@ A table has one writer at a time.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
 from hashlib import md5
@@ -35,6 +36,7 @@ from lakeload.operators.versioned import (
 from lakeload.scratch import shared_dir
 from lakeload.sources.files import no_rows, read_or_empty, require_same_columns
 
+_PARALLEL_WRITES = 8
 _NOTE = T.StructType([T.StructField(MONTH, T.IntegerType()), T.StructField("n_rows", T.LongType())])
 
 
@@ -91,7 +93,11 @@ class MonthTable:
         return row["w0"], row["w1"]
 
     def append(self, df: DataFrame) -> None:
-        """Add conformed rows as they are; older versions stay until compaction."""
+        """Add conformed rows as they are; older versions stay until compaction.
+
+        Costs a write of the batch alone. Until :meth:`compact` has run, read
+        the table with :meth:`current`.
+        """
         require_same_columns(df.schema, self.schema)
         self._shaped(with_month(df, self.contract.date_column)).write.mode("append").partitionBy(MONTH).parquet(self.path)
 
@@ -218,9 +224,11 @@ class MonthTable:
             # every staged file lies in one month, so this copy needs no shuffle
             writer = self._staged().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(MONTH).parquet(self.path)
-        for month, n in note:
-            if n == 0:  # an overwrite by month leaves months without new rows as they were
-                no_rows(self.spark, self.schema).write.mode("overwrite").parquet(f"{self.path}/{MONTH}={month}")
+        # an overwrite by month leaves months without new rows as they were
+        emptied = [f"{self.path}/{MONTH}={month}" for month, n in note if n == 0]
+        nothing = no_rows(self.spark, self.schema)
+        with ThreadPoolExecutor(_PARALLEL_WRITES) as pool:
+            list(pool.map(lambda folder: nothing.write.mode("overwrite").parquet(folder), emptied))
         no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
         no_rows(self.spark, self.schema).write.mode("overwrite").parquet(self._staging)
 

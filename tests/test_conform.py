@@ -86,6 +86,13 @@ NTZ = T.TimestampNTZType()
             [datetime(2025, 1, 2, 3, 4, 5, tzinfo=timezone.utc)],
             [datetime(2025, 1, 2, 3, 4, 5)],
         ),
+        (
+            "DateTime",
+            T.DoubleType(),
+            [1.7e18, float("nan"), 1e300, None, 5.0],
+            [datetime(2023, 11, 14, 22, 13, 20), None, None, None, None],
+        ),
+        ("DateTime", T.LongType(), [1_700_000_000_000_000_000, 2**63 - 1], [datetime(2023, 11, 14, 22, 13, 20), datetime(2262, 4, 11, 23, 47, 16)]),
         ("Nullable(DateTime)", T.StringType(), ["bad", "2025-01-02"], [None, datetime(2025, 1, 2)]),
         ("Decimal(32,16)", T.StringType(), ["1.5", None, "x"], [Decimal("1.5"), Decimal(0), Decimal(0)]),
         ("Decimal(32,16)", T.DecimalType(10, 2), [Decimal("1.50")], [Decimal("1.5")]),

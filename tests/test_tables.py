@@ -97,6 +97,20 @@ def test_daily_load_takes_the_boundary_again_and_skips_older_files(spark, table)
     assert got[1] == ("one", T1, D(2025, 2, 4, 10))
 
 
+def test_deferred_loads_read_and_compact_to_the_merged_table(spark, table, tmp_path):
+    deferred = MonthTable(spark, str(tmp_path / "deferred"), CONTRACT)
+    batches = [FIRST, [("2", "two again", "2025-01-20", "2025-03-01 00:00:00")], FIRST[2:3]]
+    for i, batch in enumerate(batches):
+        for target, defer in ((table, False), (deferred, True)):
+            run_load(frame(spark, batch), target, "full", D(2025, 6, 1 + i), defer_merge=defer)
+    columns = [c for c in CONTRACT.schema.names if c != "last_synced_at"]
+    assert deferred.read().count() > table.read().count()
+    assert rows(deferred.current(), *columns) == rows(table.read(), *columns)
+    assert deferred.watermarks() == table.watermarks()
+    deferred.compact()
+    assert rows(deferred.read(), *columns) == rows(table.read(), *columns)
+
+
 def test_mark_covers_older_rows_in_range_in_other_months(spark, table):
     run_load(frame(spark, FIRST), table, "full", T1)
     late = [("7", "seven", "2025-05-01", "2025-01-21 00:00:00"), ("8", "eight", "2025-05-02", "2025-05-02 00:00:00")]
