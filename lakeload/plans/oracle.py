@@ -98,7 +98,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN event_type = 'error' THEN 'unknown' ELSE event_type END AS kind,
                CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS maybe_text,
                CASE WHEN event_type <> 'error' THEN event_type END AS optional_text,
-               CAST(ts AS DATE) AS seen_day, date_trunc('second', ts) AS seen_text,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS seen_day, date_trunc('second', ts) AS seen_text,
                CASE WHEN event_type = 'click' THEN date_trunc('second', ts) END AS seen_bad,
                TIMESTAMP '2023-11-14 22:13:20' + to_seconds(event_id) AS seen_nanos,
                value AS amount, {_FIRST} AS loaded_at, CAST(2 AS INTEGER) AS two, 'none' AS label,
@@ -109,7 +109,7 @@ ORACLE: dict[str, str] = {
     "scalar_functions": f"""
         SELECT event_id, ts - INTERVAL 1 MONTH AS month_back, ts - INTERVAL 15 DAY AS days_back,
                ts + INTERVAL 5 YEAR AS expires, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS month,
-               CAST(ts AS DATE) AS day, date_trunc('second', ts) AS second,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS day, date_trunc('second', ts) AS second,
                strftime(ts, '%Y-%m-%d %H:%M:%S') AS second_text,
                strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS local_text,
                date_trunc('second', ts) AS parsed, CAST(NULL AS TIMESTAMP) AS not_parsed,
@@ -224,7 +224,7 @@ ORACLE: dict[str, str] = {
                     THEN TIMESTAMP '2001-09-01' END AS last_synced_at
         FROM orders""",
     "load_events": _LOADED_EVENTS,
-    "stream_load_events": _LOADED_EVENTS,
+    "stream_load": _LOADED_EVENTS,
     "daily_load": f"SELECT *, {_EVENT_MONTH} FROM ({_DAILY_EVENTS})",
     "deferred_load": _DAILY_EVENTS,
     "monthly_load": f"""
@@ -249,7 +249,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'second', 'events', 'daily', 'skipped', NULL, NULL, NULL, 0, 0, 0, 0, 'origin',
                'last_synced_at,updated_at' FROM n""",
-    "sale_return_lineage": """
+    "return_lineage": """
         WITH ends AS (
             SELECT min(CASE WHEN l_returnflag = 'N' THEN {'day': l_shipdate, 'ord': l_orderkey,
                                                          'id': l_orderkey * 10 + l_linenumber} END) AS sale,

@@ -11,14 +11,13 @@ from lakeload.contracts import TableContract, contract_from_description
 from lakeload.functions import times
 from lakeload.operators import conform as cf
 from lakeload.operators import incremental as inc
-from lakeload.operators import quality, versioned
-from lakeload.operators.lineage import return_lineage
+from lakeload.operators import lineage, quality, versioned
 from lakeload.plans import samples
 from lakeload.plans.load import read_audit, run_load
 from lakeload.plans.samples import EVENTS, FIRST_LOAD, ORDERS, SECOND_LOAD, order_changes, orders_before_2000, stamped, table
 from lakeload.scratch import run_dir
 from lakeload.sources import files
-from lakeload.streaming.stream_load import stream_load
+from lakeload.streaming import stream_load as streams
 from lakeload.tables import MonthTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,7 +249,8 @@ def conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1_700_000_000_000_000_000) + F.col("event_id") * 1_000_000_000).alias("seen_nanos"),
         F.col("value").cast("string").alias("amount"),
     )
-    return cf.conform(raw, _TYPES, FIRST_LOAD).withColumn("amount", F.col("amount").cast("double"))
+    typed = cf.conform(raw, _TYPES, FIRST_LOAD)
+    return typed.withColumns({"amount": F.col("amount").cast("double"), "seen_day": F.col("seen_day").cast("string")})
 
 
 @query
@@ -272,7 +272,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ts - F.expr("INTERVAL 15 DAY")).alias("days_back"),
         times.plus_years(ts, 5).alias("expires"),
         times.month_bucket(ts).alias("month"),
-        F.to_date(ts).alias("day"),
+        F.to_date(ts).cast("string").alias("day"),
         times.to_second(ts).alias("second"),
         text.alias("second_text"),
         times.zone_text(ts.cast("timestamp")).alias("local_text"),
@@ -551,12 +551,12 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load as an available-now stream over landed files; equals the batch load."""
     folder = run_dir(spark, "stream")
     target = MonthTable(spark, folder + "/events", EVENTS)
     schema = table(spark, sf_dir, "events").schema
-    stream = stream_load(
+    stream = streams.stream_load(
         spark, sf_dir, schema, target, folder + "/checkpoint", as_of=FIRST_LOAD, pattern="events.parquet"
     )
     stream.awaitTermination()
@@ -567,9 +567,9 @@ def stream_load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def sale_return_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def return_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "landed") + "/links.parquet"
     lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     files.write_snapshot(samples.return_links(lineitem), path)
     tables = samples.return_tables(lineitem, orders, files.read_landed(spark, path))
-    return return_lineage(tables["link"], tables["moves"], tables["origins"], tables["headers"])
+    return lineage.return_lineage(tables["link"], tables["moves"], tables["origins"], tables["headers"])

@@ -44,6 +44,33 @@ def test_query(spark, duck, name):
     assert canonical(df.columns, rows) == canonical(columns, expected_rows)
 
 
+GOLDEN = f"{DATA}/sf0.01"
+
+
+@pytest.mark.parametrize(
+    ("name", "where", "count"),
+    [
+        ("incremental_extract", "true", 5332),
+        ("skip_path", "n_rows = 0", 1),
+        ("lookback_extract", "true", 953),
+        ("conform_orders", "o_orderdate IS NULL", 11326),
+        ("pk_split", "reject_reason IS NULL", 1378),
+        ("latest_lineitem", "true", 45832),
+        ("latest_lineitem_by_month", "true", 59798),
+        ("mark_synced", "last_synced_at IS NOT NULL", 3351),
+        ("delete_where", "true", 7986),
+        ("retention", "true", 43674),
+        ("month_buckets", "true", 80),
+        ("date_range_scan", "true", 694),
+        ("coercion_loss", "failed_casts = 2000 AND column_name = 'p_brand'", 1),
+        ("coercion_loss", "sentinel_dates = 11326 AND column_name = 'o_orderdate'", 1),
+        ("clean_text", "contains(text, '\n')", 0),
+    ],
+)
+def test_golden_counts(spark, name, where, count):
+    assert driver.queries()[name](spark, GOLDEN).where(where).count() == count
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(driver.queries())
 
