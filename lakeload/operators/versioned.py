@@ -196,6 +196,7 @@ def retain(df: DataFrame, date_column: str, as_of: datetime | str, years: int =
     return df.where(coarse & retained(date_column, as_of, years))
 
 
-def months_between(first: date, last: date) -> Column:
-    """Partition predicate for a date range; Spark does not derive it from the date."""
-    return F.col(MONTH).between(month_number(first), month_number(last))
+def months_between(first: date, last: date) -> list[int]:
+    """Month partitions a date range can fall into; Spark does not derive them from the date."""
+    count = (last.year - first.year) * 12 + last.month - first.month + 1
+    return [month_number(date(first.year + m // 12, m % 12 + 1, 1)) for m in range(first.month - 1, first.month - 1 + count)]

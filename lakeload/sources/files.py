@@ -75,10 +75,14 @@ def existing_schema(spark: SparkSession, path: str) -> T.StructType | None:
         raise
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet files of a known schema, no rows if the path does not exist yet; reads no footers."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    """Parquet files of a known schema, no rows if the path does not exist yet; reads no footers.
+
+    ``base`` is the table folder when ``path`` names some of its partitions.
+    """
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (reader if base is None else reader.option("basePath", base)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return no_rows(spark, schema)

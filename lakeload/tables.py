@@ -10,7 +10,7 @@ A table has one writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
@@ -41,12 +41,22 @@ _NOTE = T.StructType([T.StructField(MONTH, T.IntegerType()), T.StructField("n_ro
 
 
 class MonthTable:
-    def __init__(self, spark: SparkSession, path: str, contract: TableContract) -> None:
+    """One stored table.
+
+    ``months_at_once`` bounds how many months a compaction, delete or mark
+    rewrites, hence stages, in one go; each portion is complete in itself, so
+    an interrupted change is continued by repeating it.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, contract: TableContract, months_at_once: int | None = None
+    ) -> None:
         if contract.date_column is None:
             raise ValueError(f"{contract.name}: a month table needs a date column")
         self.spark = spark
         self.path = path.rstrip("/")
         self.contract = contract
+        self.months_at_once = months_at_once
         plain = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
         self.schema = T.StructType(plain)
         self._stored = T.StructType([*plain, T.StructField(MONTH, T.IntegerType(), True)])
@@ -54,17 +64,25 @@ class MonthTable:
         self._staging, self._note = f"{name}/rows", f"{name}/note"
 
     def read(self, months: Iterable[int] | None = None) -> DataFrame:
-        """Rows with their month column, optionally of some months only (partition pruning)."""
-        df = read_or_empty(self.spark, self.path, self._stored)
-        return df if months is None else df.where(F.col(MONTH).isin(sorted(months)))
+        """Rows with their month column, optionally of some months only.
+
+        Naming the months' folders spares listing the files of all others,
+        which a filter on the month column would not.
+        """
+        if months is None:
+            return read_or_empty(self.spark, self.path, self._stored)
+        chosen = ",".join(str(m) for m in sorted(set(months)))
+        if not chosen:
+            return no_rows(self.spark, self._stored)
+        return read_or_empty(self.spark, f"{self.path}/{MONTH}={{{chosen}}}", self._stored, base=self.path)
 
     def current(self) -> DataFrame:
         """The newest version of each record, whether or not the table is compacted."""
         return latest_by_contract(self.read(), self.contract).select(*self.schema.names)
 
     def between(self, first: date, last: date) -> DataFrame:
-        """Rows whose table date lies in a day range; prunes the other months."""
-        return date_between(self.read().where(months_between(first, last)), self.contract.date_column, first, last)
+        """Rows whose table date lies in a day range; other months are not read."""
+        return date_between(self.read(months_between(first, last)), self.contract.date_column, first, last)
 
     def months(self, where: Column | None = None) -> list[int]:
         """Months holding rows (that satisfy ``where``): a handful of numbers."""
@@ -154,33 +172,43 @@ class MonthTable:
         return [r[0] for r in known.select(MONTH).distinct().collect()]
 
     def compact(self, months: Iterable[int] | None = None) -> int:
-        """Keep only the newest version of each record (within the given months)."""
-        if self.contract.scope == "primary_key" and months is not None:
+        """Keep only the newest version of each record.
+
+        By default in the months that hold several versions of some record,
+        found from the key columns alone; ``months`` forces certain ones.
+        """
+        alone = self.contract.scope == "sort_key"
+        if months is not None and not alone:
             raise ValueError("one row per primary key concerns all months")
         self.recover()
-        months = set(self.months() if months is None else months)
-        return self.replace(latest_by_contract(self.read(months), self.contract), months)
+        touched = self._months_with_versions() if months is None else months
+        # versions of one record may lie in several months: those go together
+        return self._rewrite(touched, lambda df: latest_by_contract(df, self.contract), split=alone)
+
+    def _months_with_versions(self) -> list[int]:
+        per_key = self.read().groupBy(*self.contract.key)
+        if self.contract.scope == "sort_key":
+            repeated = per_key.agg(F.count(F.lit(1)).alias("n"), F.max(MONTH).alias(MONTH)).where("n > 1")
+        else:
+            repeated = per_key.agg(F.count(F.lit(1)).alias("n"), F.collect_set(MONTH).alias("months"))
+            repeated = repeated.where("n > 1").select(F.explode("months").alias(MONTH))
+        return [r[0] for r in repeated.select(MONTH).distinct().collect()]
 
     def delete(self, predicate: str | Column) -> int:
         """Remove the rows a predicate holds for; other months are not rewritten."""
         self.recover()
-        touched = self.months(condition(predicate))
-        return self.replace(delete_where(self.read(touched), predicate), touched)
+        return self._rewrite(self.months(condition(predicate)), lambda df: delete_where(df, predicate))
 
     def mark(
         self, value: datetime | str, first: datetime | str | None = None, last: datetime | str | None = None
     ) -> int:
         """Set the sync mark of rows modified in a range, or of all rows."""
         self.recover()
+        synced, modified = self.contract.synced_column, self.contract.modified_column
         if first is None:
-            touched = self.months()
-            marked = mark_synced(self.read(touched), self.contract.synced_column, value)
-        else:
-            touched = self.months(self._modified_between(first, last))
-            marked = mark_synced(
-                self.read(touched), self.contract.synced_column, value, self.contract.modified_column, first, last
-            )
-        return self.replace(marked, touched)
+            return self._rewrite(self.months(), lambda df: mark_synced(df, synced, value))
+        touched = self.months(self._modified_between(first, last))
+        return self._rewrite(touched, lambda df: mark_synced(df, synced, value, modified, first, last))
 
     def retain(self, as_of: date | datetime) -> int:
         """Drop rows past their retention: expired months whole, the boundary month by row."""
@@ -188,12 +216,20 @@ class MonthTable:
         if years is None:
             return 0
         self.recover()
-        day = self.contract.date_column
-        boundary = as_of.replace(day=1, year=as_of.year - years)
-        expired = [m for m in self.months(F.col(MONTH) <= month_number(boundary)) if m != UNDATED_MONTH]
-        kept = self.read(expired).where(F.col(MONTH) == month_number(boundary)).where(retained(day, str(as_of), years))
+        boundary = month_number(as_of.replace(day=1, year=as_of.year - years))
+        expired = [m for m in self.months(F.col(MONTH) <= boundary) if m != UNDATED_MONTH]
+        kept = self.read([boundary]).where(retained(self.contract.date_column, str(as_of), years))
         return self.replace(kept, expired)
 
+    def _rewrite(
+        self, months: Iterable[int], change: Callable[[DataFrame], DataFrame], split: bool = True
+    ) -> int:
+        """Replace months by what ``change`` makes of them, in portions if need be."""
+        months = sorted(months)
+        size = self.months_at_once if split and self.months_at_once else max(len(months), 1)
+        portions = [months[i : i + size] for i in range(0, len(months), size)]
+        return sum(self.replace(change(self.read(portion)), portion) for portion in portions)
+
     def replace(self, df: DataFrame, months: Iterable[int]) -> int:
         """Make ``df`` the content of ``months``; returns its row count."""
         months = set(months)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F, types as T
 
 from lakeload.contracts import TableContract, column
 from lakeload.operators.conform import conform
+from lakeload.operators.versioned import months_between
 from lakeload.plans.load import read_audit, run_load
 from lakeload.scratch import shared_dir
 from lakeload.sources import files, jdbc
@@ -192,6 +193,31 @@ def test_append_then_compact(spark, table):
         table.append(newer.select("NAME", "RECID"))
 
 
+def test_compaction_rewrites_only_months_with_several_versions(spark, tmp_path):
+    for scope, moved, untouched in (("sort_key", "2025-01-05", "202502"), ("primary_key", "2025-03-05", "202502")):
+        target = MonthTable(spark, str(tmp_path / scope), CONTRACT.but(scope=scope), months_at_once=1)
+        target.append(conform(frame(spark, FIRST[:3]), CONTRACT, T1))
+        before = sorted(os.listdir(f"{target.path}/p_month={untouched}"))
+        target.append(conform(frame(spark, [("1", "newer", moved, "2025-03-06 00:00:00")]), CONTRACT, T2))
+        expected = rows(target.current(), "RECID", "NAME")
+        assert (1, "newer") in expected and len(expected) == 3
+        target.compact()
+        assert rows(target.read(), "RECID", "NAME") == expected
+        assert sorted(os.listdir(f"{target.path}/p_month={untouched}")) == before
+        assert target.compact() == 0
+
+
+def test_changes_in_portions_equal_changes_at_once(spark, tmp_path):
+    results = []
+    for size in (None, 2):
+        target = MonthTable(spark, str(tmp_path / str(size)), CONTRACT, months_at_once=size)
+        target.append(conform(frame(spark, FIRST[:5]), CONTRACT, T1))
+        target.mark(T3)
+        target.delete("RECID IN (1, 3, 4)")
+        results.append(rows(target.read(), "*"))
+    assert results[0] == results[1] and len(results[0]) == 2
+
+
 def test_delete_empties_months_and_leaves_others_alone(spark, table):
     run_load(frame(spark, FIRST), table, "full", T1)
     kept = os.path.join(table.path, "p_month=202501")
@@ -226,7 +252,10 @@ def test_range_read_prunes_months(spark, table):
     run_load(frame(spark, FIRST), table, "full", T1)
     df = table.between(date(2025, 1, 10), date(2025, 1, 31))
     assert rows(df, "RECID") == [(2,)]
-    assert "PartitionFilters: [isnotnull(p_month" in df._jdf.queryExecution().executedPlan().toString()
+    assert df.inputFiles() and all("p_month=202501" in f for f in df.inputFiles())
+    assert table.between(date(2024, 1, 10), date(2024, 1, 31)).count() == 0
+    assert rows(table.between(date(2024, 12, 1), date(2025, 2, 28)), "RECID") == [(1,), (2,), (3,)]
+    assert months_between(date(2024, 11, 5), date(2025, 2, 1)) == [202411, 202412, 202501, 202502]
 
 
 def test_replacing_refuses_rows_of_other_months(spark, table):
