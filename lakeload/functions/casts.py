@@ -72,7 +72,7 @@ def text(col: Column, source: T.DataType) -> Column:
     value = col
     if not isinstance(source, T.StringType):
         value = (drop_sentinel(wall_clock(col, source)) if is_temporal(source) else col).cast("string")
-    return F.translate(value, "\n", " ")
+    return F.replace(value, F.lit("\n"), F.lit(" "))
 
 
 def wall_clock(col: Column, source: T.DataType) -> Column:

@@ -31,55 +31,51 @@ def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, header
     """
     sale, ret = "sale_origin", "return_origin"
     moves = _present(moves, "INVENTTRANSORIGIN", "RETURNINVENTTRANSORIGIN")
-    pairs = _renamed(moves, INVENTTRANSORIGIN=sale, RETURNINVENTTRANSORIGIN=ret)
+    moves = _renamed(moves, INVENTTRANSORIGIN=sale, RETURNINVENTTRANSORIGIN=ret)
+    origins = _present(origins, "RECID", "REFERENCEID").select("RECID", "REFERENCEID")
+    headers = _present(headers, "SALESORDERID")
     link = _present(link, "INVENTTRANSORIGIN")
-    pairs = pairs.join(_renamed(link, INVENTTRANSORIGIN=sale), sale, "left_semi").distinct()
 
     # hot keys are sketched on the inputs, not on joined intermediates, which
     # would be computed once more for it
-    orders = _present(origins, "RECID", "REFERENCEID").select("RECID", "REFERENCEID")
-    hot_sale, hot_return = hot_keys(moves, ["INVENTTRANSORIGIN"], ["RETURNINVENTTRANSORIGIN"])
-    (hot_order,) = hot_keys(orders, ["REFERENCEID"])
-
-    # origin -> transaction, only for the origins in some pair
-    needed = pairs.select(F.explode(F.array(sale, ret)).alias("RECID"))
-    orders = orders.join(needed, "RECID", "left_semi").groupBy("RECID").agg(F.max("REFERENCEID").alias("SALESORDERID"))
-    current = _present(headers, "SALESORDERID").select(
-        "SALESORDERID", "TRANSACTIONID", "TRANSDATE", "STATEMENTID", "RETURNTRANSACTIONID"
-    )
-    current = latest_version(
-        current, ["SALESORDERID"], ["TRANSDATE"], ["TRANSACTIONID", "STATEMENTID", "RETURNTRANSACTIONID"]
-    )
-    posted_at = lookup_join(orders, current, ["SALESORDERID"], "inner", hot_order)
-
-    sales = _renamed(
-        posted_at, RECID=sale, SALESORDERID="sale_order", TRANSACTIONID="sale_transaction", TRANSDATE="sale_date"
-    )
-    returns = _renamed(
-        posted_at,
-        RECID=ret,
-        SALESORDERID="return_order",
-        TRANSACTIONID="return_transaction",
-        TRANSDATE="return_date",
-        STATEMENTID="return_statement",
-        RETURNTRANSACTIONID="named_transaction",
-    )
-    pairs = lookup_join(pairs, sales, [sale], "inner", hot_sale)
-    pairs = lookup_join(pairs, returns, [ret], "inner", hot_return)
+    hot_sale, hot_return = hot_keys(moves, [sale], [ret])
+    hot_end = {h: max(hot_sale.get(h, 1), hot_return.get(h, 1)) for h in {*hot_sale, *hot_return}}
+    (hot_order,) = hot_keys(origins, ["REFERENCEID"])
+
+    linked = _renamed(link, INVENTTRANSORIGIN=sale).distinct()
+    pairs = lookup_join(moves.distinct(), linked, [sale], "inner", hot_sale)
+    # both ends of a pair as rows of one column, so that origins and headers
+    # are read and joined once, not once per end
+    ends = pairs.withColumn("RECID", F.explode(F.array(sale, ret)))
+
+    # where Spark can broadcast the needed origins it filters before aggregating
+    orders = origins.groupBy("RECID").agg(F.max("REFERENCEID").alias("SALESORDERID"))
+    orders = orders.join(ends.select("RECID").distinct(), "RECID", "left_semi")
+    details = ["SALESORDERID", "TRANSACTIONID", "TRANSDATE", "STATEMENTID", "RETURNTRANSACTIONID"]
+    ties = ["TRANSACTIONID", "STATEMENTID", "RETURNTRANSACTIONID"]
+    current = latest_version(headers.select(*details), ["SALESORDERID"], ["TRANSDATE"], ties)
+    posted = lookup_join(orders, current, ["SALESORDERID"], "inner", hot_order)
+    ends = lookup_join(ends, posted, ["RECID"], "inner", hot_end)
+
+    def of_end(origin: str) -> Column:
+        return F.max(F.when(F.col("RECID") == F.col(origin), F.struct(*details)))
+
+    both = ends.groupBy(sale, ret).agg(of_end(sale).alias("s"), of_end(ret).alias("r"))
+    both = both.where("s IS NOT NULL AND r IS NOT NULL").withColumn("return_statement", F.col("r.STATEMENTID"))
 
     listed = _renamed(_present(link, "SALESIDRETURN"), INVENTTRANSORIGIN=sale, SALESIDRETURN="return_statement")
     listed = listed.distinct().withColumn("__listed", F.lit(True))
-    pairs = lookup_join(pairs, listed, [sale, "return_statement"], "left", hot_sale, hot_on=[sale])
-    return pairs.select(
+    both = lookup_join(both, listed, [sale, "return_statement"], "left", hot_sale, hot_on=[sale])
+    return both.select(
         sale,
         ret,
-        "sale_order",
-        "sale_transaction",
-        "sale_date",
-        "return_order",
-        "return_transaction",
-        "return_date",
-        F.coalesce(F.col("named_transaction") == F.col("sale_transaction"), F.lit(False)).alias("names_sale"),
+        F.col("s.SALESORDERID").alias("sale_order"),
+        F.col("s.TRANSACTIONID").alias("sale_transaction"),
+        F.col("s.TRANSDATE").alias("sale_date"),
+        F.col("r.SALESORDERID").alias("return_order"),
+        F.col("r.TRANSACTIONID").alias("return_transaction"),
+        F.col("r.TRANSDATE").alias("return_date"),
+        F.coalesce(F.col("r.RETURNTRANSACTIONID") == F.col("s.TRANSACTIONID"), F.lit(False)).alias("names_sale"),
         F.coalesce(F.col("__listed"), F.lit(False)).alias("statement_matches"),
     )
 

@@ -123,7 +123,9 @@ def coercion_loss(df: DataFrame, contract: TableContract) -> DataFrame:
         if casts.is_temporal(f.dataType) or casts.is_temporal(source):
             sentinel = casts.wall_clock(col, source) < ntz(SENTINEL_BEFORE)
         sentinel = F.coalesce(sentinel, F.lit(False))
-        failed = col.isNotNull() & tolerant(col, source, f).isNull() & ~sentinel
+        failed = F.lit(False)
+        if _can_fail(source, f.dataType):
+            failed = col.isNotNull() & tolerant(col, source, f).isNull() & ~sentinel
         aggregates += [
             F.count_if(col.isNull()).alias(f"nulls{i}"),
             F.count_if(failed).alias(f"failed{i}"),
@@ -144,6 +146,13 @@ def coercion_loss(df: DataFrame, contract: TableContract) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+def _can_fail(source: T.DataType, target: T.DataType) -> bool:
+    """Whether some value of the source type has no counterpart in the target type."""
+    if isinstance(target, T.StringType) or (casts.is_temporal(source) and casts.is_temporal(target)):
+        return False
+    return source != target or isinstance(target, (T.FloatType, T.DoubleType))
+
+
 def contract_profile(df: DataFrame, contract: TableContract) -> DataFrame:
     """The contract as rows (position, type, nullability, default) with the values each column holds."""
     fields = list(enumerate(contract.schema))

@@ -266,6 +266,7 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The date, text and number expressions the loads are made of."""
     ts = F.col("ts")
     text = F.date_format(ts, times.TIMESTAMP_TEXT)
+    instant = F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
     return table(spark, sf_dir, "events").select(
         "event_id",
         (ts - F.expr("INTERVAL 1 MONTH")).alias("month_back"),
@@ -275,12 +276,12 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date(ts).cast("string").alias("day"),
         times.to_second(ts).alias("second"),
         text.alias("second_text"),
-        times.zone_text(ts.cast("timestamp")).alias("local_text"),
+        times.zone_text(instant).alias("local_text"),
         times.strict_timestamp(text).alias("parsed"),
         times.strict_timestamp(F.to_date(ts).cast("string")).alias("not_parsed"),
         F.round(F.col("value") / 7, 6).alias("six_decimals"),
         F.col("value").cast("decimal(18,2)").cast("int").alias("whole"),
-        F.translate(F.concat("event_type", F.lit("\n"), "props"), "\n", " ").alias("one_line"),
+        F.replace(F.concat("event_type", F.lit("\n"), "props"), F.lit("\n"), F.lit(" ")).alias("one_line"),
         F.trim(F.regexp_replace(F.concat(F.lit(" '"), "event_type", F.lit("' ")), "['\"]", "")).alias("unquoted"),
     )
 
