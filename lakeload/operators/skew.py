@@ -61,7 +61,8 @@ def lookup_join(
     keys = list(keys)
     hot_on = list(hot_on or keys)
     types = {k: left.schema[k].dataType for k in keys}
-    right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys if right.schema[k].dataType != types[k]})
+    # hashes agree only between equal types; what does not fit the left type matches nothing
+    right = right.withColumns({k: F.col(k).try_cast(types[k]) for k in keys if right.schema[k].dataType != types[k]})
     if hot is None:
         (hot,) = hot_keys(left, hot_on)
     if not hot:

@@ -18,6 +18,7 @@ def spark(tmp_path_factory: pytest.TempPathFactory) -> SparkSession:
         .appName("lakeload-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

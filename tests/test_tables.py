@@ -12,6 +12,7 @@ from pyspark.sql import functions as F, types as T
 from lakeload.contracts import TableContract, column
 from lakeload.operators.conform import conform
 from lakeload.operators.versioned import months_between
+from lakeload.plans import jobs
 from lakeload.plans.load import read_audit, run_load
 from lakeload.scratch import shared_dir
 from lakeload.sources import files, jdbc
@@ -403,3 +404,36 @@ def test_jdbc_sub_select_and_day_ranges():
         "TRANSDATE >= '2025-01-31' AND TRANSDATE < '2025-02-01'",
         "TRANSDATE >= '2025-02-01' AND TRANSDATE < '2025-02-02'",
     ]
+
+
+# jobs
+
+
+def test_retail_job_from_landed_file_to_table(spark, tmp_path, capsys):
+    description = [
+        ["NAME", "String", "", ""],
+        ["MODIFIEDDATETIME", "DateTime", "", ""],
+        ["CREATEDDATETIME", "DateTime", "", ""],
+        ["RECID", "UInt64", "", ""],
+        ["last_synced_at", "DateTime", "", ""],
+        ["updated_at", "DateTime", "DEFAULT", "now()"],
+    ]
+    (tmp_path / "description.json").write_text(json.dumps(description))
+    lake, warehouse = str(tmp_path / "lake"), str(tmp_path / "warehouse")
+    landed = spark.createDataFrame(
+        [(1, "cash", "2025-01-01", "2025-01-02 00:00:00"), (-2, "bad", "2025-01-01", "2025-01-02 00:00:00")],
+        "RECID long, NAME string, CREATEDDATETIME string, MODIFIEDDATETIME string",
+    )
+    jobs.land(landed.limit(1), lake, "retailtendertypetable", append=False)
+    jobs.land(landed, lake, "retailtendertypetable", append=False)
+    jobs.land(landed, lake, "retailtendertypetable", append=True)
+    where = ["--lake", lake, "--warehouse", warehouse, "--description", str(tmp_path / "description.json")]
+    for mode in ("daily", "monthly"):
+        jobs.main([mode, "retailtendertypetable", *where])
+        assert "status='loaded'" in capsys.readouterr().out
+    stored = spark.read.parquet(f"{warehouse}/retailtendertypetable")
+    assert rows(stored, "RECID", "NAME", "p_month") == [(1, "cash", 202501)]
+    assert read_audit(spark, f"{warehouse}/etl_runs/retailtendertypetable").count() == 2
+    for wrong in (["daily", "t", "--lake", lake], ["land", "t", "--lake", lake, "--options", "o", "--source", "s", "--column", "c"]):
+        with pytest.raises(SystemExit):
+            jobs.main(wrong)
