@@ -81,14 +81,27 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, base: st
     ``base`` is the table folder when ``path`` names some of its partitions.
     """
     reader = spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
     try:
-        return (reader if base is None else reader.option("basePath", base)).parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return no_rows(spark, schema)
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern matches anything; lists it, reads nothing."""
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame, without going through Python data."""
     return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))

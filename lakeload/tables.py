@@ -34,7 +34,7 @@ from lakeload.operators.versioned import (
     with_month,
 )
 from lakeload.scratch import shared_dir
-from lakeload.sources.files import no_rows, read_or_empty, require_same_columns
+from lakeload.sources.files import no_rows, path_exists, read_or_empty, require_same_columns
 
 _PARALLEL_WRITES = 8
 _NOTE = T.StructType([T.StructField(MONTH, T.IntegerType()), T.StructField("n_rows", T.LongType())])
@@ -62,6 +62,7 @@ class MonthTable:
         self._stored = T.StructType([*plain, T.StructField(MONTH, T.IntegerType(), True)])
         name = f"{shared_dir(spark)}/lakeload/swap-{md5(self.path.encode()).hexdigest()}"
         self._staging, self._note = f"{name}/rows", f"{name}/note"
+        self._settled = False  # until the note has been looked at
 
     def read(self, months: Iterable[int] | None = None) -> DataFrame:
         """Rows with their month column, optionally of some months only.
@@ -71,10 +72,16 @@ class MonthTable:
         """
         if months is None:
             return read_or_empty(self.spark, self.path, self._stored)
-        chosen = ",".join(str(m) for m in sorted(set(months)))
-        if not chosen:
+        months = set(months)
+        if not months:
             return no_rows(self.spark, self._stored)
-        return read_or_empty(self.spark, f"{self.path}/{MONTH}={{{chosen}}}", self._stored, base=self.path)
+        return read_or_empty(self.spark, self._folders(months), self._stored, base=self.path)
+
+    def _folders(self, months: set[int]) -> str:
+        return f"{self.path}/{MONTH}={{{','.join(str(m) for m in sorted(months))}}}"
+
+    def _has_files(self, months: set[int]) -> bool:
+        return path_exists(self.spark, self._folders(months))
 
     def current(self) -> DataFrame:
         """The newest version of each record, whether or not the table is compacted."""
@@ -236,22 +243,30 @@ class MonthTable:
         if not months:
             return 0
         month = month_bucket(F.col(self.contract.date_column))
-        rows = df.select(*self.schema.names, month.alias(MONTH))
-        self._shaped(rows).write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
+        rows = self._shaped(df.select(*self.schema.names, month.alias(MONTH)))
+        if not self._has_files(months):
+            # nothing to lose, so no detour; what a failure leaves is merged by the next load
+            rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
+            return self.read(months).count()
+        rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
         filled = {r[0]: r[1] for r in self._staged().groupBy(MONTH).count().collect()}
         if not set(filled) <= months:
             raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
         note = [(m, filled.get(m, 0)) for m in sorted(months)]
         values = ", ".join(f"({m}, {n}L)" for m, n in note)
+        self._settled = False
         self.spark.sql(f"SELECT * FROM VALUES {values} AS note({MONTH}, n_rows)").write.mode("overwrite").parquet(self._note)
         self._swap(note)
         return sum(filled.values())
 
     def recover(self) -> bool:
         """Finish a swap that a dead driver left behind; True if there was one."""
+        if self._settled:
+            return False
         note = [(r[0], r[1]) for r in read_or_empty(self.spark, self._note, _NOTE).collect()]
         if note:
             self._swap(note)
+        self._settled = True
         return bool(note)
 
     def _swap(self, note: list[tuple[int, int]]) -> None:
@@ -266,6 +281,7 @@ class MonthTable:
         with ThreadPoolExecutor(_PARALLEL_WRITES) as pool:
             list(pool.map(lambda folder: nothing.write.mode("overwrite").parquet(folder), emptied))
         no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
+        self._settled = True
         no_rows(self.spark, self.schema).write.mode("overwrite").parquet(self._staging)
 
     def _staged(self) -> DataFrame:

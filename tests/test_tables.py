@@ -284,6 +284,14 @@ def test_swap_interrupted_at_any_point_is_finished_later(spark, table, monkeypat
     assert not fresh.recover()
 
 
+def test_failed_first_write_is_merged_by_the_next_load(spark, table):
+    """A first load that left some of its files behind must not double them."""
+    leftover = conform(frame(spark, FIRST[:2]), CONTRACT, T1)
+    table.append(leftover)
+    run_load(frame(spark, FIRST), table, "full", T1)
+    assert rows(table.read(), "RECID") == [(1,), (2,), (3,), (4,), (5,)]
+
+
 def test_watermark_hints_do_not_change_the_answer(spark, table):
     run_load(frame(spark, FIRST), table, "full", T1)
     true = table.watermarks()
