@@ -84,8 +84,8 @@ def run_load(
     Nothing new means status ``skipped``. With ``defer_merge`` the batch is
     only appended, which costs no rewrite of the months it touches: readers use
     :meth:`MonthTable.current` and a later :meth:`MonthTable.compact` merges;
-    the mark is then set on the batch's own rows. The mark moves only together with
-    rows that were loaded; a failed run is recorded, then raised.
+    the mark is then set on the batch's own rows. The mark moves only together
+    with all rows of a load; a failed run is recorded, then raised.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
@@ -161,7 +161,7 @@ def _run(
         if mark is not None:
             marked = mark_synced(ready, contract.synced_column, mark[2], contract.modified_column, mark[0], mark[1])
             ready = marked.select(*contract.schema.names)
-        table.append(ready)
+        table.append(ready, whole=True)
     else:
         report.rows_in_months = table.merge(ready, mark, facts["months"])
     report.status = "loaded"

@@ -1,11 +1,11 @@
 """A stored table that keeps the newest version of each record, partitioned by month.
 
 Plain Parquet files know no update or delete, so every change reads the months
-it touches, transforms them and replaces them. The new months are first written
-to a staging folder with a note of what they replace: the table is only touched
-once its replacement is complete on disk. If the driver dies while months are
-being swapped, the next change finds the note and finishes the swap first.
-A table has one writer at a time.
+it touches, transforms them and replaces them. Months that already have files
+are first rewritten in a staging folder with a note of what they replace: the
+table is only touched once its replacement is complete on disk. If the driver
+dies in between, the next change finds the note and finishes (or undoes) the
+interrupted one first. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -37,7 +37,13 @@ from lakeload.scratch import shared_dir
 from lakeload.sources.files import no_rows, path_exists, read_or_empty, require_same_columns
 
 _PARALLEL_WRITES = 8
-_NOTE = T.StructType([T.StructField(MONTH, T.IntegerType()), T.StructField("n_rows", T.LongType())])
+_NOTE = T.StructType(
+    [
+        T.StructField("action", T.StringType()),
+        T.StructField(MONTH, T.IntegerType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
 
 
 class MonthTable:
@@ -117,14 +123,24 @@ class MonthTable:
         row = self.read().agg(*picks).first()
         return row["w0"], row["w1"]
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, whole: bool = False) -> None:
         """Add conformed rows as they are; older versions stay until compaction.
 
         Costs a write of the batch alone. Until :meth:`compact` has run, read
-        the table with :meth:`current`.
+        the table with :meth:`current`. If the driver dies, part of the rows
+        may have been added, unless ``whole``: then the next change adds all of
+        them, which rows carrying a sync mark need. Rows added twice are
+        versions of one record.
         """
         require_same_columns(df.schema, self.schema)
-        self._shaped(with_month(df, self.contract.date_column)).write.mode("append").partitionBy(MONTH).parquet(self.path)
+        rows = self._shaped(with_month(df, self.contract.date_column))
+        if not whole:
+            rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
+            return
+        self.recover()
+        rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
+        self._intend("append", [(UNDATED_MONTH, 0)])
+        self._add_staged()
 
     def merge(
         self,
@@ -245,30 +261,48 @@ class MonthTable:
         month = month_bucket(F.col(self.contract.date_column))
         rows = self._shaped(df.select(*self.schema.names, month.alias(MONTH)))
         if not self._has_files(months):
-            # nothing to lose, so no detour; what a failure leaves is merged by the next load
+            # nothing to lose, so no detour; interrupted, the months are emptied again
+            self._intend("replace", [(m, 0) for m in sorted(months)])
             rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
+            self._settle()
             return self.read(months).count()
         rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
         filled = {r[0]: r[1] for r in self._staged().groupBy(MONTH).count().collect()}
         if not set(filled) <= months:
             raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
         note = [(m, filled.get(m, 0)) for m in sorted(months)]
-        values = ", ".join(f"({m}, {n}L)" for m, n in note)
-        self._settled = False
-        self.spark.sql(f"SELECT * FROM VALUES {values} AS note({MONTH}, n_rows)").write.mode("overwrite").parquet(self._note)
+        self._intend("replace", note)
         self._swap(note)
         return sum(filled.values())
 
     def recover(self) -> bool:
-        """Finish a swap that a dead driver left behind; True if there was one."""
+        """Finish or undo what a dead driver left behind; True if there was anything."""
         if self._settled:
             return False
-        note = [(r[0], r[1]) for r in read_or_empty(self.spark, self._note, _NOTE).collect()]
-        if note:
-            self._swap(note)
+        note = read_or_empty(self.spark, self._note, _NOTE).collect()
+        if note and note[0]["action"] == "append":
+            self._add_staged()
+        elif note:
+            self._swap([(r[MONTH], r["n_rows"]) for r in note])
         self._settled = True
         return bool(note)
 
+    def _intend(self, action: str, note: list[tuple[int, int]]) -> None:
+        """Note down what is about to happen to the table."""
+        self._settled = False
+        values = ", ".join(f"('{action}', {m}, {n}L)" for m, n in note)
+        rows = self.spark.sql(f"SELECT * FROM VALUES {values} AS note(action, {MONTH}, n_rows)")
+        rows.write.mode("overwrite").parquet(self._note)
+
+    def _settle(self) -> None:
+        no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
+        self._settled = True
+
+    def _add_staged(self) -> None:
+        self._staged().write.mode("append").partitionBy(MONTH).parquet(self.path)
+        self._settle()
+        self._discard_staged()
+
     def _swap(self, note: list[tuple[int, int]]) -> None:
         """Put the staged months in place; doing it twice gives the same table."""
         if any(n for _, n in note):
@@ -280,8 +314,10 @@ class MonthTable:
         nothing = no_rows(self.spark, self.schema)
         with ThreadPoolExecutor(_PARALLEL_WRITES) as pool:
             list(pool.map(lambda folder: nothing.write.mode("overwrite").parquet(folder), emptied))
-        no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
-        self._settled = True
+        self._settle()
+        self._discard_staged()
+
+    def _discard_staged(self) -> None:
         no_rows(self.spark, self.schema).write.mode("overwrite").parquet(self._staging)
 
     def _staged(self) -> DataFrame:

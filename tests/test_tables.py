@@ -284,12 +284,21 @@ def test_swap_interrupted_at_any_point_is_finished_later(spark, table, monkeypat
     assert not fresh.recover()
 
 
-def test_failed_first_write_is_merged_by_the_next_load(spark, table):
-    """A first load that left some of its files behind must not double them."""
-    leftover = conform(frame(spark, FIRST[:2]), CONTRACT, T1)
-    table.append(leftover)
-    run_load(frame(spark, FIRST), table, "full", T1)
-    assert rows(table.read(), "RECID") == [(1,), (2,), (3,), (4,), (5,)]
+@pytest.mark.parametrize("defer", [False, True])
+def test_interrupted_first_load_leaves_no_mark_without_its_rows(spark, table, monkeypatch, defer):
+    """Only part of the files became visible when the driver died: the next daily load must miss nothing."""
+
+    def dies(self):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as dying:
+        dying.setattr(MonthTable, "_settle", dies)
+        with pytest.raises(KeyboardInterrupt):
+            run_load(frame(spark, FIRST), table, "daily", T1, defer_merge=defer)
+    files.no_rows(spark, table.schema).write.mode("overwrite").parquet(f"{table.path}/p_month=202501")
+    assert 0 < table.read().count() < 5
+    run_load(frame(spark, FIRST), MonthTable(spark, table.path, CONTRACT), "daily", T2, defer_merge=defer)
+    assert rows(table.current(), "RECID") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 def test_watermark_hints_do_not_change_the_answer(spark, table):
