@@ -42,7 +42,7 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     path = run_dir(spark, "landed") + "/orders.csv"
     orders.write.csv(path, header=True)
-    return files.read_landed(spark, path, orders.schema)
+    return files.read_landed(spark, path, orders.schema, by_line=True)
 
 
 @query
@@ -51,7 +51,7 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "landed") + "/events.json"
     events.withColumn("ts", F.col("ts").cast("string")).write.json(path)
     landed = "event_id long, ts string, user_id long, event_type string, value double, props string"
-    read = files.read_landed(spark, path, landed, json_lines=True)
+    read = files.read_landed(spark, path, landed, by_line=True)
     return read.withColumn("ts", inc.modified_time(read, "ts"))
 
 

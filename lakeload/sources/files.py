@@ -9,22 +9,24 @@ from lakeload.functions.times import FRESHNESS_ZONE, zone_text
 
 
 def read_landed(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, json_lines: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, by_line: bool = False
 ) -> DataFrame:
     """Scan a landed file or directory; its extension (case-sensitive) picks the format.
 
-    A JSON file is one document by default, which a single task must read;
-    ``json_lines`` reads one object per line and splits. Giving ``schema``
-    spares CSV and JSON a pass over the data to infer it. Any file system
-    Spark is configured for works.
+    By default a JSON file is one document and CSV values may contain newlines,
+    so a single task must read each file. ``by_line`` says that every record is
+    one line, which lets files split. Giving ``schema`` spares CSV and JSON a
+    pass over the data to infer it. Any file system Spark is configured for
+    works.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     if path.endswith(".parquet"):
         return reader.parquet(path)
     if path.endswith(".csv"):
-        return reader.csv(path, header=True, inferSchema=schema is None, multiLine=False)
+        # quotes inside values are doubled
+        return reader.csv(path, header=True, inferSchema=schema is None, multiLine=not by_line, escape='"')
     if path.endswith(".json"):
-        return reader.json(path, multiLine=not json_lines)
+        return reader.json(path, multiLine=not by_line)
     raise ValueError(f"unsupported file format: {path}")
 
 

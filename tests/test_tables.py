@@ -373,9 +373,14 @@ def test_formats_are_chosen_by_extension(spark, tmp_path):
         files.read_landed(spark, str(tmp_path / "x.parquet")),
         files.read_landed(spark, str(tmp_path / "x.csv")),
         files.read_landed(spark, str(tmp_path / "x.json")),
-        files.read_landed(spark, str(tmp_path / "lines.json"), "n long, s string", json_lines=True),
+        files.read_landed(spark, str(tmp_path / "lines.json"), "n long, s string", by_line=True),
     ):
         assert rows(read, "n", "s") == [(1, "a"), (2, "b")]
+    (tmp_path / "quoted.csv").write_text('n,s\n1,"two\nlines, ""quoted"""\n2,\n')
+    assert rows(files.read_landed(spark, str(tmp_path / "quoted.csv")), "n", "s") == [
+        (1, 'two\nlines, "quoted"'),
+        (2, None),
+    ]
     for path in ("x.PARQUET", "x.txt", "x"):
         with pytest.raises(ValueError):
             files.read_landed(spark, path)
