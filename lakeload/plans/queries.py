@@ -103,7 +103,8 @@ def pruned_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.file_freshness(spark, sf_dir)
+    orders, lineitem = (files.scan_freshness(table(spark, sf_dir, name)) for name in ("orders", "lineitem"))
+    return orders.unionByName(lineitem)
 
 
 @query

@@ -40,6 +40,15 @@ def file_freshness(spark: SparkSession, path: str, zone: str = FRESHNESS_ZONE) -
     return files.select(F.col("path").alias("file_path"), zone_text(F.col("modificationTime"), zone).alias("modified_at"))
 
 
+def scan_freshness(df: DataFrame, zone: str = FRESHNESS_ZONE) -> DataFrame:
+    """The same for the files a scan reads, with the rows each holds."""
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file_path"))
+    return per_file.agg(
+        zone_text(F.max("_metadata.file_modification_time"), zone).alias("modified_at"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
 def last_modified(spark: SparkSession, path: str, zone: str = FRESHNESS_ZONE) -> str | None:
     """The newest modification under ``path`` as text, None if nothing is there."""
     try:

@@ -407,6 +407,12 @@ def test_freshness_is_local_time_text(spark, tmp_path):
     path.write_bytes(b"not even parquet")
     os.utime(path, (1735689600, 1735689600))  # 2025-01-01 00:00:00 UTC
     assert files.last_modified(spark, str(path)) == "2025-01-01 07:00:00"
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "set"))
+    (part,) = (tmp_path / "set").glob("*.parquet")
+    os.utime(part, (1735689600, 1735689600))
+    assert rows(files.scan_freshness(spark.read.parquet(str(tmp_path / "set"))), "modified_at", "n_rows") == [
+        ("2025-01-01 07:00:00", 7)
+    ]
     assert files.last_modified(spark, str(tmp_path / "absent")) is None
 
 
