@@ -91,7 +91,7 @@ ORACLE: dict[str, str] = {
                CAST(0 AS INTEGER) AS brand_raw, round(p_retailprice, 6) AS price_text,
                CAST(trunc(p_retailprice) AS BIGINT) AS price_cut, CAST(0 AS DOUBLE) AS price_raw,
                CASE WHEN p_size <= 25 THEN round(p_retailprice / 3, 6) END AS price_optional,
-               CASE WHEN p_size <= 25 THEN p_size END AS size_optional
+               CASE WHEN p_size <= 25 THEN CAST(p_size AS VARCHAR) END AS size_optional
         FROM part""",
     "conform_types": f"""
         SELECT event_id, floor(value / 100) <> 0 AS big, event_type = 'click' AS flag_text,
@@ -102,7 +102,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN event_type = 'click' THEN date_trunc('second', ts) END AS seen_bad,
                TIMESTAMP '2023-11-14 22:13:20' + to_seconds(event_id) AS seen_nanos,
                value AS amount, {_FIRST} AS loaded_at, CAST(2 AS INTEGER) AS two, 'none' AS label,
-               CAST(0 AS BIGINT) AS unset_number, CAST(NULL AS BIGINT) AS unset_optional, '' AS unset_text,
+               CAST(0 AS BIGINT) AS unset_number, CAST(NULL AS VARCHAR) AS unset_optional, '' AS unset_text,
                CAST(NULL AS TIMESTAMP) AS unset_time
         FROM events""",
     "clean_text": "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents",

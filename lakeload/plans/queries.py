@@ -202,7 +202,8 @@ def coerce_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_size") > 25, F.lit(float("nan"))).otherwise(price / 3).alias("price_optional"),
         F.when(F.col("p_size") > 25, "none").otherwise(F.col("p_size").cast("string")).alias("size_optional"),
     )
-    return cf.conform(raw, _NUMBERS)
+    typed = cf.conform(raw, _NUMBERS)
+    return typed.withColumn("size_optional", F.col("size_optional").cast("string"))
 
 
 _TYPES = contract_from_description(
@@ -251,7 +252,8 @@ def conform_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("string").alias("amount"),
     )
     typed = cf.conform(raw, _TYPES, FIRST_LOAD)
-    return typed.withColumns({"amount": F.col("amount").cast("double"), "seen_day": F.col("seen_day").cast("string")})
+    shown = {"amount": "double", "seen_day": "string", "unset_optional": "string"}
+    return typed.withColumns({c: F.col(c).cast(t) for c, t in shown.items()})
 
 
 @query
