@@ -15,12 +15,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_SALT = "__salt"
-
-HOT_KEYS = 1000
-"""Most keys ever salted, which bounds what comes back to the driver."""
+from lakeload.operators.conform import source_column
 
-_TRACKED = 16_384
+_SALT = "__salt"
 
 HotKeys = Mapping[int, int]
 """Key hash -> number of salts, a power of two."""
@@ -30,12 +27,14 @@ def hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
     """Per key set, the keys with more rows than an average shuffle task.
 
     Mergeable heavy-hitter sketches, all in one pass over the key columns: no
-    shuffle of keys, and at most ``HOT_KEYS`` values each come back whatever
-    the size of the data.
+    shuffle of keys. No more keys than partitions can be that large, so that
+    many values come back at most. The keys are read once more for it, before
+    the plan that uses the result is built.
     """
     partitions = _partitions(df)
+    tracked = min(max(16 * partitions, 1024), 1_000_000)
     hashed = df.select(*(F.xxhash64(*keys).alias(f"h{i}") for i, keys in enumerate(key_sets)))
-    sketches = [F.expr(f"approx_top_k(h{i}, {HOT_KEYS}, {_TRACKED})").alias(f"top{i}") for i in range(len(key_sets))]
+    sketches = [F.expr(f"approx_top_k(h{i}, {min(partitions, tracked)}, {tracked})").alias(f"top{i}") for i in range(len(key_sets))]
     row = hashed.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
     found = []
     for i in range(len(key_sets)):
@@ -89,7 +88,7 @@ def _spread(df: DataFrame) -> Column:
     task reading them spreads those, and neither depends on row order.
     """
     limit = F.lit(1 << 30)
-    content = F.pmod(F.xxhash64(*df.columns), limit).cast("int")
+    content = F.pmod(F.xxhash64(*map(source_column, df.columns)), limit).cast("int")
     return F.pmod(content + F.spark_partition_id(), limit)
 
 

@@ -34,21 +34,24 @@ def latest_version(
     at most one row per task.
     """
     rank = "__rank"
-    ties = [F.desc_nulls_last(c) for c in tiebreak] if tiebreak is not None else [F.xxhash64(*df.columns).desc()]
+    ties = [F.desc_nulls_last(c) for c in tiebreak] if tiebreak is not None else [F.xxhash64(*map(source_column, df.columns)).desc()]
     ordering = [*(F.desc_nulls_last(c) for c in order), *ties]
     window = Window.partitionBy(*key).orderBy(*ordering)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)
 
 
-def latest_by_contract(df: DataFrame, contract: TableContract) -> DataFrame:
+def latest_by_contract(df: DataFrame, contract: TableContract, by_modification: bool = False) -> DataFrame:
     """Newest row per contract key.
 
     Under sort-key scope the key contains the date, so versions are replaced
     within a month only.
     The greatest version wins, then the latest modification: equal versions
-    come from one load, which inserts in modification order.
+    come from one load, which inserts in modification order. With
+    ``by_modification`` the modification counts first.
     """
     order = [c for c in (contract.version_column, contract.modified_column) if c is not None]
+    if by_modification:
+        order.reverse()
     return latest_version(df, contract.key, order, contract.tiebreak)
 
 
@@ -102,14 +105,15 @@ def upsert(
     ordered = both.withColumn(side, -F.col(side))  # existing first among equals
     ties = [side, *(tiebreak if tiebreak is not None else [])]
     if tiebreak is None:
-        ordered = ordered.withColumn("__tie", F.xxhash64(*existing.columns))
+        ordered = ordered.withColumn("__tie", F.xxhash64(*map(source_column, existing.columns)))
         ties.append("__tie")
     return latest_version(ordered, key, [modified], ties).select(*(source_column(c) for c in existing.columns))
 
 
 def row_hash(columns: Sequence[str]) -> Column:
     """64-bit content hash of a row; NULL positions count, so (NULL, 1) differs from (1, NULL)."""
-    return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
+    values = [source_column(c) for c in columns]
+    return F.xxhash64(*values, *(v.isNull() for v in values))
 
 
 def changes_by_hash(
@@ -118,15 +122,23 @@ def changes_by_hash(
     key: str,
     columns: Sequence[str] | None = None,
     hot: HotKeys | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """``incoming`` with column ``change``: ``new``, ``changed`` or ``same`` by row content.
 
-    ``existing`` holds one row per key (a latest-version table). Only its key
-    and hash are shuffled.
+    Existing values are compared as the incoming types. Of several existing
+    rows per key the greatest by ``order`` counts, as on a table that is not
+    compacted. Only key, order and hash are shuffled.
     """
     columns = list(columns or incoming.columns)
-    old = existing.select(F.col(key), row_hash(columns).alias("__old_hash"))
-    old = old.groupBy(key).agg(F.max("__old_hash").alias("__old_hash"))
+    types = {f.name: f.dataType for f in incoming.schema}
+    alike = existing.select(
+        *(source_column(c).cast(types[c]).alias(c) for c in dict.fromkeys([key, *columns])),
+        F.struct(*(source_column(c) for c in order), F.lit(0).alias("__")).alias("__order"),
+    )
+    old = alike.select(source_column(key).alias(key), "__order", row_hash(columns).alias("__old_hash"))
+    newest = F.max(F.struct("__order", "__old_hash"))["__old_hash"]
+    old = old.groupBy(source_column(key).alias(key)).agg(newest.alias("__old_hash"))
     joined = lookup_join(incoming.withColumn("__hash", row_hash(columns)), old, [key], "left", hot)
     change = (
         F.when(F.col("__old_hash").isNull(), "new")

@@ -1,6 +1,6 @@
 """The scheduled jobs of the retail tables, for ``spark-submit``.
 
-    jobs.py land TABLE --lake URI --options FILE --source dbo.TABLE [--key K --bounds LO HI --partitions N]
+    jobs.py land TABLE --lake URI --options FILE --source dbo.TABLE [--key K] --bounds LO HI --partitions N
     jobs.py land TABLE --lake URI --options FILE --source dbo.TABLE --column C --days FIRST LAST
     jobs.py daily|monthly|full TABLE --lake URI --warehouse URI --description FILE
 
@@ -61,7 +61,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--source")
     parser.add_argument("--key", default="RECID")
     parser.add_argument("--bounds", nargs=2, type=int)
-    parser.add_argument("--partitions", type=int, default=1)
+    parser.add_argument("--partitions", type=int)
     parser.add_argument("--column")
     parser.add_argument("--days", nargs=2, type=date.fromisoformat)
     given = parser.parse_args(arguments)
@@ -72,8 +72,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
         parser.error(f"{given.job} needs {', '.join(absent)}")
     if (given.days is None) != (given.column is None):
         parser.error("--days and --column go together")
-    if given.partitions > 1 and given.bounds is None:
-        parser.error("--partitions needs --bounds")
+    if given.job == "land" and given.days is None and (given.bounds is None or given.partitions is None):
+        parser.error("a snapshot needs --bounds and --partitions: one read would put the table in one task")
 
     spark = SparkSession.builder.appName(f"{given.job} {given.table}").getOrCreate()
     if given.job != "land":
@@ -84,7 +84,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         options = json.load(f)
     if given.days is None:
         df = jdbc.snapshot(
-            spark, options, given.source, given.key, tuple(given.bounds or (0, 1)), given.partitions, dirty_read=True
+            spark, options, given.source, given.key, tuple(given.bounds), given.partitions, dirty_read=True
         )
     else:
         url = options.pop("url")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -19,6 +19,7 @@ from lakeload.tables import MonthTable
 
 MODES = ("full", "daily", "monthly")
 
+
 @dataclass
 class LoadReport:
     """What one run did; one row of the audit table."""
@@ -76,6 +77,7 @@ def run_load(
     audit_path: str | None = None,
     run_id: str | None = None,
     defer_merge: bool = False,
+    by_modification: bool = False,
 ) -> LoadReport:
     """Load the new part of ``source`` into ``table``.
 
@@ -85,17 +87,20 @@ def run_load(
     only appended, which costs no rewrite of the months it touches: readers use
     :meth:`MonthTable.current` and a later :meth:`MonthTable.compact` merges;
     the mark is then set on the batch's own rows. The mark moves only together
-    with all rows of a load; a failed run is recorded, then raised.
+    with all rows of a load; a failed run is recorded, then raised. Rejected
+    rows are always kept, next to the table unless ``rejects_path`` says where.
+    ``by_modification`` is for batches that come in any order: see
+    :meth:`MonthTable.merge`. Load times are UTC.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
-    as_of = as_of or datetime.now()
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     report = LoadReport(run_id or uuid.uuid4().hex, table.contract.name, mode, started_at=as_of)
     try:
         known = last_marks(table.spark, audit_path, table.contract.name) if audit_path else (None, None)
-        _run(source, table, mode, as_of, rejects_path, known, defer_merge, report)
+        _run(source, table, mode, as_of, rejects_path or rejects_of(table), known, defer_merge, by_modification, report)
     except Exception as error:
-        report.status, report.error = "failed", str(error)[:2000]
+        report.status, report.error = "failed", str(error)
         raise
     finally:
         if audit_path is not None:
@@ -108,17 +113,18 @@ def _run(
     table: MonthTable,
     mode: str,
     as_of: datetime,
-    rejects_path: str | None,
+    rejects_path: str,
     known: tuple[datetime | None, datetime | None],
     defer_merge: bool,
+    by_modification: bool,
     report: LoadReport,
 ) -> None:
     contract = table.contract
     begun = time.monotonic()
     table.recover()
-    synced, high_water = table.watermarks(known)
-    batch = source
+    batch, high_water = source, None
     if mode != "full":
+        synced, high_water = table.watermarks(known)
         if contract.modified_column is None:
             raise ValueError(f"{contract.name} has no modification time; use mode 'full'")
         extract = incremental_extract if mode == "daily" else lookback_extract
@@ -145,14 +151,16 @@ def _run(
     report.extract_seconds = time.monotonic() - begun
 
     begun = time.monotonic()
-    if rejects_path is not None and report.rows_rejected:
-        # one folder per run, so a repeated run does not repeat its rejects
-        tagged.where(rejected).write.mode("overwrite").parquet(f"{rejects_path}/run_id={report.run_id}")
+    if report.rows_rejected:
+        # one folder per table and run, so a repeated run does not repeat its rejects
+        tagged.where(rejected).write.mode("overwrite").parquet(f"{rejects_path}/of={contract.name}/run_id={report.run_id}")
     if report.rows_accepted == 0:
         report.status = "rejected" if report.rows_read else "skipped"
         return
     mark = None
     if contract.synced_column is not None and report.modified_max is not None:
+        if mode == "full":  # only a mark needs to know how far the table already is
+            high_water = table.watermarks(known)[1]
         report.synced_at = max(report.modified_max, high_water) if high_water else report.modified_max
         mark = (report.modified_min, report.modified_max, report.synced_at)
     accepted = tagged.where(~rejected).drop(REASON)
@@ -163,7 +171,7 @@ def _run(
             ready = marked.select(*contract.schema.names)
         table.append(ready, whole=True)
     else:
-        report.rows_in_months = table.merge(ready, mark, facts["months"])
+        report.rows_in_months = table.merge(ready, mark, facts["months"], by_modification)
     report.status = "loaded"
     report.load_seconds = time.monotonic() - begun
 
@@ -172,7 +180,12 @@ def record(spark: SparkSession, report: LoadReport, audit_path: str) -> None:
     """Append the run to the audit table; repeating a run id replaces its row."""
     values = asdict(report)
     row = spark.range(1).select(*(_literal(values[f.name], f.dataType).alias(f.name) for f in _AUDIT))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{audit_path}/run={report.run_id}")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{audit_path}/of={report.table_name}/run={report.run_id}")
+
+
+def rejects_of(table: MonthTable) -> str:
+    """Where a table's rejected rows go if nothing else is said."""
+    return f"{table.path}.rejects"
 
 
 def _literal(value: object, spark_type: T.DataType) -> Column:

@@ -42,7 +42,7 @@ _DAILY_EVENTS = f"""
 """
 
 ORACLE: dict[str, str] = {
-    "scan_parquet": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "scan_parquet": "SELECT * FROM customer",
     "scan_csv": "SELECT * FROM orders",
     "scan_json": "SELECT * FROM events",
     "snapshot_write": "SELECT * FROM customer",
@@ -267,3 +267,21 @@ ORACLE: dict[str, str] = {
         FROM links l JOIN orders s ON s.o_orderkey = sale_key JOIN orders r ON r.o_orderkey = l.return_key
         LEFT JOIN named n ON n.return_key = l.return_key""",
 }
+
+ORACLE |= {
+    "scan_json_document": "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "scan_csv_quoted": "SELECT doc_id, lang, text FROM documents",
+    "source_freshness": """
+        SELECT 'orders' AS file_name, true AS well_formed, count(*) AS n_rows FROM orders
+        UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
+    """,
+    "load_skip": "SELECT 'skipped' AS status, CAST(0 AS BIGINT) AS rows_read, count(*) AS rows_in_table FROM events",
+    "load_rejects": """
+        SELECT CASE WHEN event_type = 'error' THEN 'bad ' ELSE '' END || event_id AS event_id, event_type,
+               event_type = 'error' AS rejected
+        FROM events
+    """,
+    "stream_late_file": """
+        SELECT event_id, date_trunc('second', ts + INTERVAL 1 HOUR) AS ts, 'corrected' AS event_type FROM events
+    """,
+}

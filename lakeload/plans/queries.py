@@ -13,7 +13,7 @@ from lakeload.operators import conform as cf
 from lakeload.operators import incremental as inc
 from lakeload.operators import lineage, quality, versioned
 from lakeload.plans import samples
-from lakeload.plans.load import read_audit, run_load
+from lakeload.plans.load import read_audit, rejects_of, run_load
 from lakeload.plans.samples import EVENTS, FIRST_LOAD, ORDERS, SECOND_LOAD, order_changes, orders_before_2000, stamped, table
 from lakeload.scratch import run_dir
 from lakeload.sources import files
@@ -34,7 +34,7 @@ def query(fn: Query) -> Query:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return table(spark, sf_dir, "customer")
 
 
 @query
@@ -55,6 +55,29 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumn("ts", inc.modified_time(read, "ts"))
 
 
+@query
+def scan_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several files that are one JSON document each."""
+    orders = table(spark, sf_dir, "orders")
+    path = run_dir(spark, "landed") + "/orders.json"
+    row = F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    document = F.to_json(F.collect_list(row)).alias("value")
+    in_files = orders.groupBy((F.col("o_orderkey") % 8).alias("file")).agg(document)
+    in_files.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    read = files.read_landed(spark, path, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+    return read.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+@query
+def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files whose quoted values hold newlines and quotes, with inferred types."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    path = run_dir(spark, "landed") + "/documents.csv"
+    kept = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    documents.repartition(4, "doc_id").write.options(**kept).csv(path, header=True, quoteAll=True)
+    return files.read_landed(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 @query
 def snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "snapshot") + "/customer.parquet"
@@ -103,8 +126,13 @@ def pruned_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each scanned file, and whether its time reads like one; the time itself is no data."""
     orders, lineitem = (files.scan_freshness(table(spark, sf_dir, name)) for name in ("orders", "lineitem"))
-    return orders.unionByName(lineitem)
+    return orders.unionByName(lineitem).select(
+        F.regexp_extract("file_path", r"([a-z]+)\.parquet", 1).alias("file_name"),
+        F.col("modified_at").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d").alias("well_formed"),
+        "n_rows",
+    )
 
 
 @query
@@ -554,6 +582,43 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def load_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that finds its table up to date: what it says, and the table as it was."""
+    events = table(spark, sf_dir, "events")
+    target = MonthTable(spark, run_dir(spark, "events"), EVENTS)
+    run_load(events, target, "daily", FIRST_LOAD)
+    report = run_load(events.where(F.col("ts") < times.ntz("2024-01-20")), target, "daily", SECOND_LOAD)
+    return target.read().agg(
+        F.lit(report.status).alias("status"), F.lit(report.rows_read).cast("long").alias("rows_read"), F.count(F.lit(1)).alias("rows_in_table")
+    )
+
+
+@query
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed row is in the table or among its rejects, although no place for those was named."""
+    events = table(spark, sf_dir, "events")
+    key = F.concat(F.when(F.col("event_type") == "error", "bad ").otherwise(""), F.col("event_id"))
+    target = MonthTable(spark, run_dir(spark, "events"), EVENTS)
+    run_load(events.withColumn("event_id", key), target, "daily", FIRST_LOAD)
+    accepted = target.read().select(F.col("event_id").cast("string"), "event_type", F.lit(False).alias("rejected"))
+    rejects = spark.read.parquet(rejects_of(target))
+    return accepted.unionByName(rejects.select("event_id", "event_type", F.col("reject_reason").isNotNull().alias("rejected")))
+
+
+@query
+def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files landed in the wrong order: the later modification stays."""
+    events = table(spark, sf_dir, "events")
+    folder = run_dir(spark, "stream")
+    later = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("event_type", F.lit("corrected"))
+    target = MonthTable(spark, folder + "/events", EVENTS.but(scope="primary_key"))
+    for rows in (later, events):
+        rows.coalesce(1).write.mode("append").parquet(folder + "/landed")
+        streams.stream_load(spark, folder + "/landed", events.schema, target, folder + "/checkpoint", as_of=FIRST_LOAD).awaitTermination()
+    return target.read().select("event_id", "ts", "event_type")
+
+
 @query
 def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load as an available-now stream over landed files; equals the batch load."""

@@ -77,14 +77,6 @@ def date_range(
     )
 
 
-def date_range_single(
-    spark: SparkSession, options: Mapping[str, str], table: str, column: str, first: date, last: date
-) -> DataFrame:
-    """The same rows in one read, leaving the predicate to Spark's push-down."""
-    whole = spark.read.format("jdbc").options(**options).option("dbtable", table).load()
-    return date_between(whole, column, first, last)
-
-
 def insert(df: DataFrame, options: Mapping[str, str], table: str, batch: int = INSERT_BATCH) -> None:
     """Typed insert into a database table, each task sending ``batch`` rows a statement."""
     df.write.format("jdbc").options(**options).option("dbtable", table).option("batchsize", str(batch)).mode("append").save()

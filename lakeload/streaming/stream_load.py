@@ -6,6 +6,7 @@ a batch load, so a batch that is replayed after a failure changes nothing.
 
 from __future__ import annotations
 
+import threading
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -30,7 +31,10 @@ def stream_load(
     """Load all files not yet loaded (of those matching ``pattern``), then stop.
 
     The checkpoint remembers which files were loaded, which takes the place of
-    the watermark filter.
+    the watermark filter. Files may come in any order: the latest modification
+    of a record wins. Run ids hold the query's own id, so streams and fresh
+    checkpoints never share audit or reject rows. The audit, by default next to
+    the table, bounds the search for the table's last mark.
     """
     reader = spark.readStream.schema(source_schema)
     if files_per_batch is not None:
@@ -39,8 +43,15 @@ def stream_load(
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
 
+    audit_path = audit_path or f"{table.path}.runs"
+    started, query = threading.Event(), []
+
     def load(batch: DataFrame, batch_id: int) -> None:
-        run_load(batch, table, "full", as_of, rejects_path, audit_path, run_id=f"batch-{batch_id}")
+        started.wait()
+        run_id = f"{query[0].id}-batch-{batch_id}"
+        run_load(batch, table, "full", as_of, rejects_path, audit_path, run_id, by_modification=True)
 
     writer = reader.parquet(source_dir).writeStream.foreachBatch(load)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.append(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    started.set()
+    return query[0]

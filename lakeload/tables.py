@@ -4,8 +4,10 @@ Plain Parquet files know no update or delete, so every change reads the months
 it touches, transforms them and replaces them. Months that already have files
 are first rewritten in a staging folder with a note of what they replace: the
 table is only touched once its replacement is complete on disk. If the driver
-dies in between, the next change finds the note and finishes (or undoes) the
-interrupted one first. A table has one writer at a time.
+dies in between, the next change, of whatever kind and from whatever session,
+finds the note and finishes (or undoes) the interrupted one first; until then
+the table refuses to be read. Note and staged rows lie in the table's own
+folder, under a name that scans skip. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
-from hashlib import md5
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -33,7 +34,6 @@ from lakeload.operators.versioned import (
     upsert,
     with_month,
 )
-from lakeload.scratch import shared_dir
 from lakeload.sources.files import no_rows, path_exists, read_or_empty, require_same_columns
 
 _PARALLEL_WRITES = 8
@@ -66,16 +66,20 @@ class MonthTable:
         plain = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
         self.schema = T.StructType(plain)
         self._stored = T.StructType([*plain, T.StructField(MONTH, T.IntegerType(), True)])
-        name = f"{shared_dir(spark)}/lakeload/swap-{md5(self.path.encode()).hexdigest()}"
-        self._staging, self._note = f"{name}/rows", f"{name}/note"
-        self._settled = False  # until the note has been looked at
+        self._staging, self._note = f"{self.path}/_lakeload/rows", f"{self.path}/_lakeload/note"
 
     def read(self, months: Iterable[int] | None = None) -> DataFrame:
         """Rows with their month column, optionally of some months only.
 
         Naming the months' folders spares listing the files of all others,
-        which a filter on the month column would not.
+        which a filter on the month column would not. While a change is pending
+        that a dead driver left half done, reading is refused.
         """
+        if self._pending():
+            raise RuntimeError(f"{self.path}: a change was interrupted; recover() finishes it")
+        return self._read(months)
+
+    def _read(self, months: Iterable[int] | None = None) -> DataFrame:
         if months is None:
             return read_or_empty(self.spark, self.path, self._stored)
         months = set(months)
@@ -133,11 +137,11 @@ class MonthTable:
         versions of one record.
         """
         require_same_columns(df.schema, self.schema)
+        self.recover()
         rows = self._shaped(with_month(df, self.contract.date_column))
         if not whole:
             rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
             return
-        self.recover()
         rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
         self._intend("append", [(UNDATED_MONTH, 0)])
         self._add_staged()
@@ -147,9 +151,13 @@ class MonthTable:
         batch: DataFrame,
         mark: tuple[datetime, datetime, datetime] | None = None,
         months: Iterable[int] | None = None,
+        by_modification: bool = False,
     ) -> int:
         """Add conformed rows and keep the newest version of every record.
 
+        With ``by_modification`` the latest modification wins however late the
+        other versions were loaded, which batches in any order need.
+
         ``mark`` is (first, last, value): the sync mark of all rows modified in
         that range, set in the same rewrite, so data and mark appear together.
         ``months`` are the batch's months if already known. Returns the rows
@@ -165,7 +173,8 @@ class MonthTable:
             touched.update(self._months_of_records(batch))
         if mark is not None:
             touched.update(self.months(self._modified_between(mark[0], mark[1])))
-        merged = latest_by_contract(self.read(touched).unionByName(batch), self.contract)
+        both = self._read(touched).unionByName(batch)
+        merged = latest_by_contract(both, self.contract, by_modification)
         if mark is not None:
             merged = mark_synced(
                 merged, self.contract.synced_column, mark[2], self.contract.modified_column, mark[0], mark[1]
@@ -182,7 +191,7 @@ class MonthTable:
         self.recover()
         batch = with_month(batch, self.contract.date_column)
         touched = {r[0] for r in batch.select(MONTH).distinct().collect()} | set(self._months_of_records(batch))
-        changed = upsert(self.read(touched), batch, [self.contract.primary_key], self.contract.modified_column)
+        changed = upsert(self._read(touched), batch, [self.contract.primary_key], self.contract.modified_column)
         return self.replace(changed, touched)
 
     def _modified_between(self, first: datetime | str, last: datetime | str) -> Column:
@@ -265,7 +274,7 @@ class MonthTable:
             self._intend("replace", [(m, 0) for m in sorted(months)])
             rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
             self._settle()
-            return self.read(months).count()
+            return self._read(months).count()
         rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
         filled = {r[0]: r[1] for r in self._staged().groupBy(MONTH).count().collect()}
         if not set(filled) <= months:
@@ -277,26 +286,27 @@ class MonthTable:
 
     def recover(self) -> bool:
         """Finish or undo what a dead driver left behind; True if there was anything."""
-        if self._settled:
-            return False
-        note = read_or_empty(self.spark, self._note, _NOTE).collect()
+        note = self._pending()
         if note and note[0]["action"] == "append":
             self._add_staged()
         elif note:
             self._swap([(r[MONTH], r["n_rows"]) for r in note])
-        self._settled = True
         return bool(note)
 
+    def _pending(self) -> list:
+        """The note of a change that isn't finished; empty otherwise. One small file at most."""
+        if not path_exists(self.spark, self._note):
+            return []
+        return read_or_empty(self.spark, self._note, _NOTE).collect()
+
     def _intend(self, action: str, note: list[tuple[int, int]]) -> None:
         """Note down what is about to happen to the table."""
-        self._settled = False
         values = ", ".join(f"('{action}', {m}, {n}L)" for m, n in note)
         rows = self.spark.sql(f"SELECT * FROM VALUES {values} AS note(action, {MONTH}, n_rows)")
         rows.write.mode("overwrite").parquet(self._note)
 
     def _settle(self) -> None:
         no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
-        self._settled = True
 
     def _add_staged(self) -> None:
         self._staged().write.mode("append").partitionBy(MONTH).parquet(self.path)
