@@ -52,15 +52,20 @@ class Automaton:
         self._made = [-1] * size  # the merge that made a token
         self._left, self._right = [-1] * size, [-1] * size
         self._lost: dict[int, int] = {}  # state and arc: the merge that took the arc
+        idle: set[int] = set()
         for number, (a, b) in enumerate(merges):
             first, second, both = vocab[a], vocab[b], vocab[a + b]
             self._made[both], self._left[both], self._right[both] = number, first, second
-            if self.has_arc(first, second):
+            if first not in idle and second not in idle and self.has_arc(first, second):
                 self._lost[first << 32 | second] = number
+            else:
+                idle.add(both)  # the merge finds nothing to merge: no state gets an arc
         # labels as a tree over symbols: children, the token inside a word and the token at its end
         self._children: list[dict[str, int]] = [{}]
         self._inner, self._final = [-1], [-1]
         for label, token in vocab.items():
+            if token in idle:
+                continue
             closes = bool(word_end) and label.endswith(word_end)
             node = 0
             for symbol in label[: len(label) - len(word_end)] if closes else label:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakeload.llm.common import column, no_cycle_search, text_crc
 
 STATISTICS = (
-    "log_words", "chars_per_word", "distinct_share", "repeated_next", "top_word_share", "symbol_share", "bar_share",
+    "log_words", "chars_per_word", "repeated_triples", "repeated_next", "top_word_share", "symbol_share", "bar_share",
     "exclaim_share", "capital_share", "digit_share", "stop_share", "comma_share", "words_per_line", "distinct_lines",
 )
 _SYMBOLS = np.zeros(256, bool)
@@ -43,7 +43,7 @@ def statistics(text: bytes | None) -> list[float]:
     return [
         float(np.log(number)),
         size / number,
-        distinct / number,
+        1 - len(set(zip(words, words[1:], words[2:]))) / max(number - 2, 1) if number > 2 else 0.0,
         again / number,
         most / number,
         float(counts[_SYMBOLS].sum()) / number,
@@ -176,7 +176,7 @@ def _lasso_logistic(a: np.ndarray, y: np.ndarray, penalty: float, steps: int = 6
     return constant, w
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, rate: float = 0.3, penalty: float = 1e-3) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, rate: float = 0.3, penalty: float = 3e-4) -> RuleModel:
     """Learn rules and their weights from statistics and labels (0 or 1).
 
     With labels of one kind only, or none, there are no rules: the score is the
