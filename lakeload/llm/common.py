@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
+import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeload.scratch import shared_dir
@@ -44,3 +47,12 @@ def no_cycle_search() -> Iterator[None]:
     finally:
         if was_on:
             gc.enable()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and would keep their largest size."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+        if trim is not None:
+            trim(0)

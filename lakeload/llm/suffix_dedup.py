@@ -35,7 +35,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from lakeload.llm.common import give_back
 
 _GRAM = 16
 _BATCH = 1 << 16  # bytes looked at at once
@@ -112,6 +116,7 @@ def _runs(texts: list[bytes], length: int) -> Iterator[_Run]:
 
 def _documents(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Texts and ids of a chunk in an order that does not depend on the shuffle, and the rows they come from."""
+    give_back()  # what the chunk before took
     ids, texts = table["_id"].to_pylist(), table["_text"].to_pylist()
     order = sorted((i for i in range(len(ids)) if ids[i] is not None and texts[i]), key=lambda i: (ids[i], texts[i]))
     return [texts[i] for i in order], np.array([ids[i] for i in order], np.int64), np.array(order, np.int64)
@@ -226,9 +231,24 @@ class _Strings:
         np.maximum.at(self.most, self.number, docs)
 
 
-_STRINGS = pa.schema(
-    [("_bucket", pa.int32()), ("_chunk", pa.int32()), ("_numbers", pa.binary()), ("_sizes", pa.binary()), ("_least", pa.binary()), ("_most", pa.binary()), ("_data", pa.binary())]
-)
+_STRINGS = pa.schema([("_bucket", pa.int32()), ("_chunk", pa.int32()), ("_count", pa.int32()), ("_packed", pa.binary())])
+
+
+def _pack(numbers: np.ndarray, sizes: np.ndarray, least: np.ndarray, several: np.ndarray, strings: list[bytes]) -> bytes:
+    """A chunk's strings for one bucket with their facts, compressed: they are what is shuffled most."""
+    facts = [numbers.astype(np.int32), sizes.astype(np.int32), least.astype(np.int64), several.astype(np.uint8)]
+    # bytes of equal weight side by side compress better
+    sides = [np.ascontiguousarray(f.view(np.uint8).reshape(len(f), -1).T).tobytes() for f in facts]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(sides + strings))
+
+
+def _unpack(packed: bytes, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    data, at, facts = zstandard.ZstdDecompressor().decompress(packed), 0, []
+    for kind, width in ((np.int32, 4), (np.int32, 4), (np.int64, 8), (np.uint8, 1)):
+        sides = np.frombuffer(data, np.uint8, width * count, at).reshape(width, count)
+        facts.append(np.ascontiguousarray(sides.T).view(kind).reshape(count))
+        at += width * count
+    return *facts, data[at:]
 
 
 def _string_rows(length: int, buckets: int):
@@ -240,12 +260,10 @@ def _string_rows(length: int, buckets: int):
         bucket = ((found.key >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         sizes = np.array([len(s) for s in found.strings], np.int32)
-        least, most = found.least, found.most
-        out = []
+        several, out = found.least < found.most, []
         for i in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            out.append(
-                {"_bucket": int(bucket[i[0]]), "_chunk": key[0].as_py(), "_numbers": _blob(i.astype(np.int32)), "_sizes": _blob(sizes[i]), "_least": _blob(least[i]), "_most": _blob(most[i]), "_data": b"".join([found.strings[j] for j in i.tolist()])}
-            )
+            packed = _pack(i, sizes[i], found.least[i], several[i], [found.strings[j] for j in i.tolist()])
+            out.append({"_bucket": int(bucket[i[0]]), "_chunk": key[0].as_py(), "_count": len(i), "_packed": packed})
         return pa.Table.from_pylist(out, _STRINGS)
 
     return rows
@@ -353,12 +371,10 @@ def _verdicts(length: int, shard_bytes: int):
         known: dict[bytes, int] = {}
         least: list[int] = []
         uses = []
-        for i in range(table.num_rows):
-            part = {c: table[c][i].as_py() for c in table.column_names}
-            sizes = np.frombuffer(part["_sizes"], np.int32).tolist()
-            numbers, firsts = np.frombuffer(part["_numbers"], np.int32), np.frombuffer(part["_least"], np.int64)
-            data, at, mine = part["_data"], 0, []
-            for size, first in zip(sizes, firsts.tolist()):
+        for chunk, count, packed in zip(*(table[c].to_pylist() for c in ("_chunk", "_count", "_packed"))):
+            numbers, sizes, firsts, several, data = _unpack(packed, count)
+            at, mine = 0, []
+            for size, first in zip(sizes.tolist(), firsts.tolist()):
                 string = data[at : at + size]
                 at += size
                 k = known.setdefault(string, len(known))
@@ -367,7 +383,7 @@ def _verdicts(length: int, shard_bytes: int):
                 elif first < least[k]:
                     least[k] = first
                 mine.append(k)
-            uses.append((part["_chunk"], numbers, np.frombuffer(part["_most"], np.int64), np.array(mine, np.int64)))
+            uses.append((chunk, numbers, firsts, several, np.array(mine, np.int64)))
         strings = list(known)
         sizes = np.array([len(s) for s in strings], np.int64)
         begin = np.concatenate(([0], np.cumsum(sizes)))
@@ -391,11 +407,12 @@ def _verdicts(length: int, shard_bytes: int):
         stretch_to = stretch_from + np.diff(np.append(turn, len(first)))
         opens = np.searchsorted(stretch_owner, np.arange(len(strings) + 1))
         out = []
-        for chunk, numbers, most, mine in uses:
+        for chunk, numbers, firsts, several, mine in uses:
             count = opens[mine + 1] - opens[mine]
             use = np.repeat(np.arange(len(mine)), count)
             s = np.repeat(opens[mine], count) + np.arange(len(use)) - np.repeat(np.cumsum(count) - count, count)
-            needed = stretch_first[s] < most[use]
+            # nothing goes in a chunk whose only document with the string is the first
+            needed = (stretch_first[s] < firsts[use]) | (several[use] > 0)
             use, s = use[needed], s[needed]
             if len(use):
                 out.append(
@@ -500,8 +517,6 @@ def remove_repeats(
         T.StructField("kept_sha256", T.StringType()),
     ] + ([T.StructField("kept_text", T.StringType())] if with_text else [])
     schema = T.StructType([f for f in keyed.schema if f.name == "_row"] + added)
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     return by_chunk.cogroup(sent.groupBy("_chunk")).applyInArrow(_kept_rows(length, to_arrow_schema(schema)), schema)
 
 
