@@ -30,15 +30,17 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from lakeload.llm.common import column, no_cycle_search
+from lakeload.llm.common import column, give_back, no_cycle_search
 
-_WORDS_KEPT = 200_000
+_WORDS_KEPT = 100_000
 _LONGEST_KEPT = 64
-_ROWS_KEPT = 150_000
+_ROWS_KEPT = 60_000
+_ROWS_AT_ONCE = 256
 
 
 START = -1
@@ -253,6 +255,11 @@ class Codec:
         back = {ord(s): b for b, s in self._symbols.items()}
         return [word.translate(back).encode("latin-1").decode() for word, _ in self._split(self._normalize(text))]
 
+    def forget(self) -> None:
+        """Drop what has been filled in, which a worker need not hold between tasks."""
+        self._words.clear()
+        self.automaton._forget()
+
     def decode(self, ids: list[int]) -> str:
         """The arcs' labels one after another, as the library joins them where no decoder is set."""
         labels = self.labels
@@ -293,20 +300,24 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer)
-        for batch in batches:
-            out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            if with_ids:
-                out |= {"ids": [], "decoded": []}
-            with no_cycle_search():
-                for text in batch["text"].to_pylist():
-                    count, numbers, decoded = coder.written(text or "")
-                    out["n_tokens"].append(count)
-                    out["ids_sha256"].append(hashlib.sha256(numbers.encode()).hexdigest())
-                    out["decoded_sha256"].append(hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest())
-                    if with_ids:
-                        out["ids"].append([int(i) for i in numbers.split()])
-                        out["decoded"].append(decoded)
-            yield pa.RecordBatch.from_arrays([batch["id"], *(pa.array(v, _TYPES[k]) for k, v in out.items())], names=["id", *out])
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                    part = batch.slice(start, _ROWS_AT_ONCE)
+                    with no_cycle_search():
+                        found = [coder.written(text or "") for text in part["text"].to_pylist()]
+                        out = {
+                            "n_tokens": [count for count, _, _ in found],
+                            "ids_sha256": [hashlib.sha256(numbers.encode()).hexdigest() for _, numbers, _ in found],
+                            "decoded_sha256": [hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest() for _, _, decoded in found],
+                        }
+                        if with_ids:
+                            out["ids"] = [np.array(numbers.split(), np.int32) for _, numbers, _ in found]
+                            out["decoded"] = [decoded for _, _, decoded in found]
+                    yield pa.RecordBatch.from_arrays([part["id"], *(pa.array(v, _TYPES[k]) for k, v in out.items())], names=["id", *out])
+        finally:
+            coder.forget()
+            give_back()
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeload.llm.common import column, no_cycle_search
+from lakeload.llm.common import give_back, column, no_cycle_search
 
 # Element names of the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -303,6 +303,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             with no_cycle_search():
                 texts = [extract(p) for p in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
+        give_back()
+
 
     plain = pages.select(column(id_col).cast("long").alias("id"), column(url_col).cast("string").alias("url"), column(html_col).cast("string").alias("html"))
     return plain.mapInArrow(rows, "id long, url string, text string, n_chars long").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

@@ -20,7 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from lakeload.llm.common import column, text_crc
+from lakeload.llm.common import give_back, column, text_crc
 
 UNDETERMINED = "und"
 _LONGEST = 4
@@ -153,6 +153,8 @@ def identify(docs: DataFrame, model: KernelModel, id_col: str = "doc_id", text_c
         for batch in batches:
             names, scores = learned.predict(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
+        give_back()
+
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
     return plain.mapInArrow(rows, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeload.llm.common import column, no_cycle_search
+from lakeload.llm.common import give_back, column, no_cycle_search
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 
@@ -185,6 +185,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             names = ["id", "license", "coverage", "n_aligned", "first_word", "end_word"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        give_back()
+
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
     schema = "id long, license string, coverage double, n_aligned long, first_word long, end_word long"

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lakeload.llm.common import column, no_cycle_search
+from lakeload.llm.common import give_back, column, no_cycle_search
 
 _SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -136,6 +136,8 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], *(pa.array([f[k] for f in found], _ARROW[v]) for k, v in fields.items())], names=["id", *fields]
             )
+        give_back()
+
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
     return plain.mapInArrow(rows, "id long, " + ", ".join(f"{k} {v}" for k, v in fields.items())).withColumnRenamed("id", id_col)

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeload.llm.common import column, no_cycle_search, text_crc
+from lakeload.llm.common import give_back, column, no_cycle_search, text_crc
 
 STATISTICS = (
     "log_words", "chars_per_word", "repeated_triples", "repeated_next", "top_word_share", "symbol_share", "bar_share",
@@ -84,6 +84,8 @@ def with_statistics(docs: DataFrame, id_col: str, text_col: str, carry: bool = F
                 found = np.array([statistics(t) for t in batch["_text"].to_pylist()], np.float64).reshape(-1, len(STATISTICS))
             arrays = [batch["id"], *(pa.array(found[:, i]) for i in range(len(STATISTICS)))]
             yield pa.RecordBatch.from_arrays(arrays + ([batch["_row"]] if carry else []), names=names + (["_row"] if carry else []))
+        give_back()
+
 
     return plain.mapInArrow(rows, ", ".join(fields))
 

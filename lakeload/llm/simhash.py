@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lakeload.llm.common import column, settled
+from lakeload.llm.common import give_back, column, settled
 from lakeload.llm.components import components
 
 _SEED = 42
@@ -57,6 +57,8 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int =
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found)], names=["id", "fp"])
+        give_back()
+
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("binary").alias("text"))
     return plain.mapInArrow(rows, "id long, fp long")
