@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakeload.llm.common import column, give_back, no_cycle_search
 
-_WORDS_KEPT = 100_000
+_WORDS_KEPT = 150_000
 _LONGEST_KEPT = 64
-_ROWS_KEPT = 60_000
+_ROWS_KEPT = 80_000
 _ROWS_AT_ONCE = 256
 
 
@@ -255,11 +255,6 @@ class Codec:
         back = {ord(s): b for b, s in self._symbols.items()}
         return [word.translate(back).encode("latin-1").decode() for word, _ in self._split(self._normalize(text))]
 
-    def forget(self) -> None:
-        """Drop what has been filled in, which a worker need not hold between tasks."""
-        self._words.clear()
-        self.automaton._forget()
-
     def decode(self, ids: list[int]) -> str:
         """The arcs' labels one after another, as the library joins them where no decoder is set."""
         labels = self.labels
@@ -316,7 +311,6 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                             out["decoded"] = [decoded for _, _, decoded in found]
                     yield pa.RecordBatch.from_arrays([part["id"], *(pa.array(v, _TYPES[k]) for k, v in out.items())], names=["id", *out])
         finally:
-            coder.forget()
             give_back()
 
     plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
