@@ -58,9 +58,8 @@ class LineRules:
         if symbols > self.max_symbols_per_word * len(words) and symbols > 2:
             return "navigation"
         if len(words) >= self.shouted_words:
-            # a line is mostly capitals if few of its characters change when raised
-            letters = sum(map(str.isalpha, line)) if line[:400] == line[:400].upper() else 0
-            if letters and sum(map(str.isupper, line)) > self.max_capital_share * letters:
+            letters = sum(map(str.isalpha, line))
+            if sum(map(str.isupper, line)) > self.max_capital_share * letters:
                 return "capitals"
         if len(words) <= self.max_furniture_words and _FURNITURE.search(line):
             return "boilerplate"

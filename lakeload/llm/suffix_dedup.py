@@ -531,8 +531,7 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns = []
     for c in docs.columns:
         if c == text_col:
-            # a null text stays null
-            columns.append(F.when(F.col("kept_text") != "", F.col("kept_text")).otherwise(F.lit("")).alias(c))
+            columns.append(F.col("kept_text").alias(c))
         elif c in inner:
             columns.append(F.col("_row").getField(c).alias(c))
     return kept.select(*columns)
