@@ -3,7 +3,7 @@
 Four tables take part. *moves* pairs the inventory origin of a sold line with
 that of its return; *link* lists the sale origins that have a return, with the
 statement the return was posted in; *origins* resolves an inventory origin to
-its sales order; *headers* resolves a sales order to a shop transaction.
+its sales order; *headers* resolves a sales order to shop transactions.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from lakeload.operators.versioned import latest_version
 
 
 def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, headers: DataFrame) -> DataFrame:
-    """One row per linked (sale origin, return origin) whose both orders have a transaction.
+    """One row per linked (sale origin, return origin) and transaction of the return's order.
 
     Inputs (other columns are ignored):
       link     INVENTTRANSORIGIN, SALESIDRETURN
@@ -24,8 +24,11 @@ def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, header
       headers  SALESORDERID, TRANSACTIONID, TRANSDATE, STATEMENTID, RETURNTRANSACTIONID
 
     The return origin is taken from *moves*: the one in *link* need not
-    resolve. An order with several headers counts by its latest one, so every
-    lookup side has one row per key and the output never exceeds *moves*.
+    resolve. The sale is the transaction of the sale's order that the return
+    names in RETURNTRANSACTIONID; a return that names none of them gets the
+    order's latest. Both are lookups by key, so the output grows with the
+    return transactions, however many an order has. Headers that repeat an
+    order and transaction count by the latest.
     Flags: the return names the sale's transaction; the return's statement is
     the one its link lists.
     """
@@ -33,8 +36,13 @@ def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, header
     moves = _present(moves, "INVENTTRANSORIGIN", "RETURNINVENTTRANSORIGIN")
     moves = _renamed(moves, INVENTTRANSORIGIN=sale, RETURNINVENTTRANSORIGIN=ret)
     origins = _present(origins, "RECID", "REFERENCEID").select("RECID", "REFERENCEID")
-    headers = _present(headers, "SALESORDERID")
     link = _present(link, "INVENTTRANSORIGIN")
+    headers = latest_version(
+        _present(headers, "SALESORDERID").select("SALESORDERID", "TRANSACTIONID", "TRANSDATE", "STATEMENTID", "RETURNTRANSACTIONID"),
+        ["SALESORDERID", "TRANSACTIONID"],
+        ["TRANSDATE"],
+        ["STATEMENTID", "RETURNTRANSACTIONID"],
+    )
 
     # hot keys are sketched on the inputs, not on joined intermediates, which
     # would be computed once more for it
@@ -44,39 +52,50 @@ def return_lineage(link: DataFrame, moves: DataFrame, origins: DataFrame, header
 
     linked = _renamed(link, INVENTTRANSORIGIN=sale).distinct()
     pairs = lookup_join(moves.distinct(), linked, [sale], "inner", hot_sale)
-    # both ends of a pair as rows of one column, so that origins and headers
-    # are read and joined once, not once per end
+    # both ends of a pair as rows of one column, so that origins are read and
+    # joined once, not once per end
     ends = pairs.withColumn("RECID", F.explode(F.array(sale, ret)))
+    orders = origins.groupBy("RECID").agg(F.max("REFERENCEID").alias("order"))
+    ends = lookup_join(ends, orders, ["RECID"], "inner", hot_end)
+
+    def order_of(origin: str) -> Column:
+        return F.max(F.when(F.col("RECID") == F.col(origin), F.col("order")))
+
+    both = ends.groupBy(sale, ret).agg(order_of(sale).alias("sale_order"), order_of(ret).alias("return_order"))
+    both = both.where("sale_order IS NOT NULL AND return_order IS NOT NULL")
+
+    returns = _renamed(
+        headers,
+        SALESORDERID="return_order",
+        TRANSACTIONID="return_transaction",
+        TRANSDATE="return_date",
+        STATEMENTID="return_statement",
+        RETURNTRANSACTIONID="named",
+    )
+    both = lookup_join(both, returns, ["return_order"], "inner", hot_order)
 
-    # where Spark can broadcast the needed origins it filters before aggregating
-    orders = origins.groupBy("RECID").agg(F.max("REFERENCEID").alias("SALESORDERID"))
-    orders = orders.join(ends.select("RECID").distinct(), "RECID", "left_semi")
-    details = ["SALESORDERID", "TRANSACTIONID", "TRANSDATE", "STATEMENTID", "RETURNTRANSACTIONID"]
-    ties = ["TRANSACTIONID", "STATEMENTID", "RETURNTRANSACTIONID"]
-    current = latest_version(headers.select(*details), ["SALESORDERID"], ["TRANSDATE"], ties)
-    posted = lookup_join(orders, current, ["SALESORDERID"], "inner", hot_order)
-    ends = lookup_join(ends, posted, ["RECID"], "inner", hot_end)
-
-    def of_end(origin: str) -> Column:
-        return F.max(F.when(F.col("RECID") == F.col(origin), F.struct(*details)))
+    latest = latest_version(headers, ["SALESORDERID"], ["TRANSDATE"], ["TRANSACTIONID"])
+    latest = _renamed(latest, SALESORDERID="sale_order", TRANSACTIONID="latest_transaction", TRANSDATE="latest_date")
+    both = lookup_join(both, latest, ["sale_order"], "inner", hot_order)
 
-    both = ends.groupBy(sale, ret).agg(of_end(sale).alias("s"), of_end(ret).alias("r"))
-    both = both.where("s IS NOT NULL AND r IS NOT NULL").withColumn("return_statement", F.col("r.STATEMENTID"))
+    by_id = _renamed(_present(headers, "TRANSACTIONID"), SALESORDERID="sale_order", TRANSACTIONID="named", TRANSDATE="named_date")
+    by_id = by_id.withColumn("names_sale", F.lit(True))
+    both = lookup_join(both, by_id, ["sale_order", "named"], "left", hot_order, hot_on=["sale_order"])
 
     listed = _renamed(_present(link, "SALESIDRETURN"), INVENTTRANSORIGIN=sale, SALESIDRETURN="return_statement")
-    listed = listed.distinct().withColumn("__listed", F.lit(True))
+    listed = listed.distinct().withColumn("listed", F.lit(True))
     both = lookup_join(both, listed, [sale, "return_statement"], "left", hot_sale, hot_on=[sale])
     return both.select(
         sale,
         ret,
-        F.col("s.SALESORDERID").alias("sale_order"),
-        F.col("s.TRANSACTIONID").alias("sale_transaction"),
-        F.col("s.TRANSDATE").alias("sale_date"),
-        F.col("r.SALESORDERID").alias("return_order"),
-        F.col("r.TRANSACTIONID").alias("return_transaction"),
-        F.col("r.TRANSDATE").alias("return_date"),
-        F.coalesce(F.col("r.RETURNTRANSACTIONID") == F.col("s.TRANSACTIONID"), F.lit(False)).alias("names_sale"),
-        F.coalesce(F.col("__listed"), F.lit(False)).alias("statement_matches"),
+        "sale_order",
+        F.when(F.col("names_sale"), F.col("named")).otherwise(F.col("latest_transaction")).alias("sale_transaction"),
+        F.when(F.col("names_sale"), F.col("named_date")).otherwise(F.col("latest_date")).alias("sale_date"),
+        "return_order",
+        "return_transaction",
+        "return_date",
+        F.coalesce("names_sale", F.lit(False)).alias("names_sale"),
+        F.coalesce("listed", F.lit(False)).alias("statement_matches"),
     )
 
 

@@ -250,22 +250,33 @@ ORACLE: dict[str, str] = {
         SELECT 'second', 'events', 'daily', 'skipped', NULL, NULL, NULL, 0, 0, 0, 0, 'origin',
                'last_synced_at,updated_at' FROM n""",
     "return_lineage": """
-        WITH ends AS (
-            SELECT min(CASE WHEN l_returnflag = 'N' THEN {'day': l_shipdate, 'ord': l_orderkey,
-                                                         'id': l_orderkey * 10 + l_linenumber} END) AS sale,
-                   max(CASE WHEN l_returnflag = 'R' THEN {'day': l_shipdate, 'ord': l_orderkey,
-                                                         'id': l_orderkey * 10 + l_linenumber} END) AS ret
-            FROM lineitem GROUP BY l_partkey, l_suppkey),
-        links AS (SELECT DISTINCT sale.id AS sale_origin, sale.ord AS sale_key, ret.id AS return_origin,
-                         ret.ord AS return_key
-                  FROM ends WHERE sale.day < ret.day AND sale.ord <> ret.ord),
-        named AS (SELECT return_key, max(sale_key) AS named FROM links GROUP BY 1)
-        SELECT sale_origin, return_origin, 'SO-' || sale_key AS sale_order, 'T-' || sale_key AS sale_transaction,
-               s.o_orderdate AS sale_date, 'SO-' || l.return_key AS return_order,
-               'T-' || l.return_key AS return_transaction, r.o_orderdate AS return_date,
-               coalesce(n.named = sale_key, false) AS names_sale, r.o_orderstatus <> 'P' AS statement_matches
-        FROM links l JOIN orders s ON s.o_orderkey = sale_key JOIN orders r ON r.o_orderkey = l.return_key
-        LEFT JOIN named n ON n.return_key = l.return_key""",
+        WITH lines AS (
+            SELECT l_partkey AS part, l_suppkey AS supp, l_returnflag AS flag, l_shipdate AS at, l_orderkey AS ord,
+                   l_orderkey * 10 + l_linenumber AS id
+            FROM lineitem),
+        linked AS (
+            SELECT r.id AS return_origin, r.ord AS return_key, s.id AS sale_origin, s.ord AS sale_key,
+                   row_number() OVER (PARTITION BY r.id, r.part, r.supp, r.at ORDER BY s.at DESC, s.ord DESC, s.id DESC) AS place
+            FROM lines r JOIN lines s ON s.part = r.part AND s.supp = r.supp
+                 AND CAST(s.at AS DATE) < CAST(r.at AS DATE) AND s.ord <> r.ord
+            WHERE r.flag = 'R' AND s.flag = 'N'),
+        links AS (SELECT DISTINCT return_origin, return_key, sale_origin, sale_key FROM linked WHERE place = 1),
+        named AS (SELECT return_key, max(sale_key) AS named FROM links GROUP BY 1),
+        headers AS (
+            SELECT o_orderkey AS ord, 'T-' || o_orderkey AS id, o_orderdate AS at, o_orderstatus AS status,
+                   named AS names
+            FROM orders LEFT JOIN named ON return_key = o_orderkey
+            UNION ALL
+            SELECT o_orderkey, 'T-' || o_orderkey || '-2', o_orderdate + INTERVAL 1 DAY, o_orderstatus, NULL
+            FROM orders WHERE o_orderstatus = 'F')
+        SELECT sale_origin, return_origin, 'SO-' || sale_key AS sale_order,
+               'T-' || sale_key || CASE WHEN s.o_orderstatus = 'F' AND r.names IS DISTINCT FROM sale_key THEN '-2' ELSE '' END
+                   AS sale_transaction,
+               s.o_orderdate + CASE WHEN s.o_orderstatus = 'F' AND r.names IS DISTINCT FROM sale_key
+                                    THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS sale_date,
+               'SO-' || return_key AS return_order, r.id AS return_transaction, r.at AS return_date,
+               coalesce(r.names = sale_key, false) AS names_sale, r.status <> 'P' AS statement_matches
+        FROM links JOIN orders s ON s.o_orderkey = sale_key JOIN headers r ON r.ord = return_key""",
 }
 
 ORACLE |= {

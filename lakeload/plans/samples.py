@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakeload.contracts import TableContract, contract_from_description
 from lakeload.sources.files import read_landed
@@ -74,28 +74,54 @@ def orders_before_2000(orders: DataFrame) -> DataFrame:
 
 
 def return_links(lineitem: DataFrame) -> DataFrame:
-    """Sold lines and the returns they are linked to.
+    """Returned lines (``ret``) and the sold line (``sale``) each is linked to.
 
-    Each part and supplier links its first sold line to its last returned one
-    if that came later in another order: one partial aggregation, however many
-    lines a part has.
+    A return belongs to the latest line of the same part and supplier that was
+    sold on an earlier day in another order; of one day's lines, to the greatest
+    order and line. A day's two greatest orders suffice to find one that differs
+    from the return's, so only a row per day is carried forward, and returns
+    look it up by their day: linear, however many lines a part has.
     """
-    line = F.struct(
-        F.col("l_shipdate").alias("day"),
-        F.col("l_orderkey").alias("order"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+    pair = ["l_partkey", "l_suppkey"]
+    lines = lineitem.where("l_returnflag IN ('N', 'R')").select(
+        *pair,
+        F.to_date("l_shipdate").alias("on"),
+        "l_returnflag",
+        F.struct(
+            F.col("l_shipdate").alias("day"),
+            F.col("l_orderkey").alias("order"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        ).alias("line"),
     )
-    ends = lineitem.groupBy("l_partkey", "l_suppkey").agg(
-        F.min(F.when(F.col("l_returnflag") == "N", line)).alias("sale"),
-        F.max(F.when(F.col("l_returnflag") == "R", line)).alias("ret"),
-    )
-    return ends.where("sale.day < ret.day AND sale.order <> ret.order")
+    sold = F.max(F.when(F.col("l_returnflag") == "N", F.col("line")))
+    by_order = lines.groupBy(*pair, "on", F.col("line.order").alias("of")).agg(sold.alias("sale"))
+    rank = F.row_number().over(Window.partitionBy(*pair, "on").orderBy(F.desc_nulls_last("sale")))
+    two = by_order.withColumn("rank", rank).where("rank <= 2").groupBy(*pair, "on")
+    days = two.agg(F.max("sale").alias("first"), F.max(F.when(F.col("rank") == 2, F.col("sale"))).alias("second"))
+    # the latest sale before a day, and the latest one of another order than that
+    before = Window.partitionBy(*pair).orderBy("on").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("last", F.max("first").over(before))
+    upto = Window.partitionBy(*pair).orderBy("on").rowsBetween(Window.unboundedPreceding, 0)
+    # where the last sale's order changes, the one before is the other
+    days = days.withColumn("other_here", F.when(F.col("second").isNotNull(), F.col("second")).when(F.col("first")["order"] != F.col("last")["order"], F.col("last")))
+    days = days.withColumn("other_upto", F.last("other_here", ignorenulls=True).over(upto))
+    days = days.withColumn("other", F.lag("other_upto").over(Window.partitionBy(*pair).orderBy("on")))
+    returned = lines.where("l_returnflag = 'R'").select(*pair, "on", F.col("line").alias("ret"))
+    linked = returned.join(days.select(*pair, "on", "last", "other"), [*pair, "on"])
+    sale = F.when(F.col("last")["order"] != F.col("ret")["order"], F.col("last")).otherwise(F.col("other"))
+    return linked.select(sale.alias("sale"), "ret").where("sale IS NOT NULL")
 
 
 def return_tables(lineitem: DataFrame, orders: DataFrame, links: DataFrame) -> dict[str, DataFrame]:
-    """The four lineage inputs: link, moves, origins and headers."""
+    """The four lineage inputs: link, moves, origins and headers.
+
+    A return names the greatest of its order's sales. Finished orders have a
+    second transaction a day later, which names nothing.
+    """
     named = links.groupBy(F.col("ret.order").alias("o_orderkey")).agg(F.max("sale.order").alias("named"))
     closed = F.when(F.col("o_orderstatus") == "P", "ST-open").otherwise(F.concat(F.lit("ST-"), F.col("o_orderkey")))
+    again = F.explode(F.when(F.col("o_orderstatus") == "F", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    headers = orders.join(named, "o_orderkey", "left").withColumn("again", again)
     return {
         "link": links.select(
             F.col("sale.id").alias("INVENTTRANSORIGIN"), F.concat(F.lit("ST-"), "ret.order").alias("SALESIDRETURN")
@@ -107,11 +133,11 @@ def return_tables(lineitem: DataFrame, orders: DataFrame, links: DataFrame) -> d
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("RECID"),
             F.concat(F.lit("SO-"), "l_orderkey").alias("REFERENCEID"),
         ),
-        "headers": orders.join(named, "o_orderkey", "left").select(
+        "headers": headers.select(
             F.concat(F.lit("SO-"), "o_orderkey").alias("SALESORDERID"),
-            F.concat(F.lit("T-"), "o_orderkey").alias("TRANSACTIONID"),
-            F.col("o_orderdate").alias("TRANSDATE"),
+            F.concat(F.lit("T-"), "o_orderkey", F.when(F.col("again") == 1, "-2").otherwise("")).alias("TRANSACTIONID"),
+            (F.col("o_orderdate") + F.col("again") * F.expr("INTERVAL 1 DAY")).alias("TRANSDATE"),
             closed.alias("STATEMENTID"),
-            F.concat(F.lit("T-"), "named").alias("RETURNTRANSACTIONID"),
+            F.when(F.col("again") == 0, F.concat(F.lit("T-"), "named")).alias("RETURNTRANSACTIONID"),
         ),
     }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeload.operators import incremental as inc
 from lakeload.operators import skew, versioned
 from lakeload.operators.lineage import return_lineage
+from lakeload.plans.samples import return_links
 
 D = datetime
 
@@ -294,6 +295,38 @@ def test_return_lineage(spark):
     ]
 
 
+def test_return_names_one_of_two_sales(spark):
+    day = D.fromisoformat
+    link, moves = [("SO-1", "ST-9", 100, 200)], [(100, 200)]
+    origins = [(100, "L-1", "SO-1"), (200, "L-2", "SO-2")]
+    headers = [
+        ("SO-1", "T-1", day("2025-01-10"), "ST-8", None),
+        ("SO-1", "T-1b", day("2025-01-12"), "ST-8", None),
+        ("SO-2", "T-2", day("2025-01-13"), "ST-9", "T-1"),
+        ("SO-2", "T-2b", day("2025-01-14"), "ST-7", "T-0"),
+        ("SO-2", "T-2c", day("2025-01-15"), "ST-9", None),
+    ]
+    got = return_lineage(*lineage_tables(spark, link, moves, origins, headers))
+    assert rows(got, "return_transaction", "sale_transaction", F.col("sale_date").cast("string"), "names_sale", "statement_matches") == [
+        ("T-2", "T-1", "2025-01-10", True, True),
+        ("T-2b", "T-1b", "2025-01-12", False, False),
+        ("T-2c", "T-1b", "2025-01-12", False, True),
+    ]
+
+
+def test_return_links_are_the_latest_earlier_sales(spark):
+    rng = random.Random(5)
+    lines = [(rng.randint(1, 2), 1, rng.randint(1, 12), n, rng.choice("NNRA"), D(2025, 1, rng.randint(1, 9))) for n in range(200)]
+    df = spark.createDataFrame(lines, "l_partkey long, l_suppkey long, l_orderkey long, l_linenumber long, l_returnflag string, l_shipdate timestamp_ntz")
+    expected = []
+    for part, _, order, n, flag, at in lines:
+        sales = [(x[5], x[2], x[2] * 10 + x[3]) for x in lines if x[0] == part and x[4] == "N" and x[5] < at and x[2] != order]
+        if flag == "R" and sales:
+            expected.append((max(sales)[2], order * 10 + n))
+    got = rows(return_links(df), F.col("sale.id"), F.col("ret.id"))
+    assert got == sorted(expected, key=repr) and len(got) > 20
+
+
 def test_return_lineage_against_brute_force_with_hot_keys(spark):
     """A third of the moves share one sale origin and a third of the origins one order."""
     rng = random.Random(11)
@@ -305,17 +338,18 @@ def test_return_lineage_against_brute_force_with_hot_keys(spark):
         for i in range(50)
         for j in range(1 + i % 2)
     ]
-    header = {}
+    of_order: dict[str, list] = {}
     for h in headers:
-        if h[0] not in header or h[2] > header[h[0]][2]:
-            header[h[0]] = h
+        of_order.setdefault(h[0], []).append(h)
     order = {o[0]: o[2] for o in origins}
     linked, listed = {x[2] for x in link}, {(x[2], x[1]) for x in link}
     expected = []
     for sale, ret in moves:
-        s, r = header.get(order.get(sale)), header.get(order.get(ret))
-        if sale in linked and s and r:
-            expected.append((sale, ret, s[0], s[1], r[0], r[1], r[4] == s[1], (sale, r[3]) in listed))
+        sales, returns = of_order.get(order.get(sale)), of_order.get(order.get(ret))
+        for r in returns or [] if sale in linked and sales else []:
+            named = [h for h in sales if h[1] == r[4]]
+            s = named[0] if named else max(sales, key=lambda h: h[2])
+            expected.append((sale, ret, s[0], s[1], r[0], r[1], bool(named), (sale, r[3]) in listed))
     got = return_lineage(*lineage_tables(spark, link, moves, origins, headers))
     names = ["sale_origin", "return_origin", "sale_order", "sale_transaction", "return_order", "return_transaction"]
     assert expected
