@@ -37,6 +37,7 @@ _DROPPED = frozenset(
     " math canvas iframe object embed audio video map menu dialog xmp noembed noframes".split()
 )
 _CLOSES_P = _BLOCKS - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup"}
+_P_LIMITS = frozenset("button td th table".split())
 _ENDS_WITH = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -66,11 +67,14 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 
 
 class _Node:
-    __slots__ = ("name", "children", "parent", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    __slots__ = ("name", "children", "parent", "in_article", "in_p", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
 
     def __init__(self, name: str, parent: _Node | None) -> None:
         self.name, self.parent = name, parent
         self.children: list[_Node | str] = []
+        # what an element lies in is handed down, so that deep pages take no walk up for every element
+        self.in_article = name in ("article", "main") or (parent is not None and parent.in_article)
+        self.in_p = name == "p" or (parent is not None and parent.in_p and name not in _P_LIMITS)
 
 
 def _dropped(name: str, attributes: str, within_article: bool) -> bool:
@@ -96,7 +100,6 @@ def parse(page: str) -> _Node:
     root = node = _Node("body", None)
     at, size = 0, len(page)
     skipped: list[str] = []  # open elements below and with a dropped one
-    article = 0
     while at < size:
         found = _TOKEN.search(page, at)
         start = found.start() if found else size
@@ -136,18 +139,15 @@ def parse(page: str) -> _Node:
             continue
         if name in ("html", "body"):
             continue
-        if name in _CLOSES_P:
-            node = _close(node, {"p"}, {"button", "td", "th", "table"})
+        if name in _CLOSES_P and node.in_p:
+            node = _close(node, {"p"}, _P_LIMITS)
         if name in _ENDS_WITH:
             node = _close(node, *_ENDS_WITH[name])
         if name in _VOID:
             if name in ("br", "hr", "img"):
                 node.children.append(_Node(name, node))
             continue
-        article = node
-        while article is not None and article.name not in ("article", "main"):
-            article = article.parent
-        if _dropped(name, attributes, article is not None):
+        if _dropped(name, attributes, node.in_article):
             if not closed:
                 skipped.append(name)
             continue
@@ -159,13 +159,13 @@ def parse(page: str) -> _Node:
 
 
 def _close(node: _Node, names: set[str], limits: set[str]) -> _Node:
-    """The parent of the nearest open element of a name, if no limit is in between."""
-    up = node
+    """The parent of the outermost open element of a name, if no limit is in between."""
+    up = out = node
     while up.parent is not None and up.name not in limits:
         if up.name in names:
-            return _close(up.parent, names, limits)
+            out = up.parent
         up = up.parent
-    return node
+    return out
 
 
 def _postorder(root: _Node) -> Iterator[_Node]:
@@ -236,23 +236,20 @@ def _main_parts(root: _Node) -> list[_Node]:
         article = article.parent
     if article is not None:
         best = article
+    above, up = set(), best.parent
+    while up is not None:
+        above.add(up)
+        up = up.parent
     taken: list[_Node] = []
-
-    def search(node: _Node) -> None:
-        if node is best:
-            taken.append(node)
-            return
-        holds = best
-        while holds is not None and holds is not node:
-            holds = holds.parent
-        if holds is not None:  # on the way to the main part
-            for child in node.children:
-                if not isinstance(child, str):
-                    search(child)
-        elif node.name == best.name and node.density >= threshold and node.sum >= 0.25 * best.sum and node.link_chars * 3 < node.chars:
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node in above:  # on the way to the main part
+            stack += [c for c in reversed(node.children) if not isinstance(c, str)]
+        elif node is best or (
+            node.name == best.name and node.density >= threshold and node.sum >= 0.25 * best.sum and node.link_chars * 3 < node.chars
+        ):
             taken.append(node)
-
-    search(root)
     return taken
 
 
