@@ -16,8 +16,8 @@ Rates become whole copies by systematic rounding: along a line on which
 documents of a source lie by size class and size, each document gets as many
 copies as integers fall into its stretch of cumulated rates. Neighbours on the
 line have like sizes, so the words taken stay close to the words expected. The
-line is cut into segments, summed separately and chained by their totals, so no
-window holds a whole source.
+line is cut into segments, whose number follows the rows, summed separately and
+chained by their totals, so no window holds a whole source.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakeload.llm.common import column, settled
 
 _WORD = r"[^\x20\x09-\x0D]+"
-_SEGMENTS = 64  # of one size class of one source
+_SEGMENTS = 64  # of one size class of one source, at least
+_SEGMENT_ROWS = 1_000_000  # rows of a segment on average, should one class hold all rows
 
 
 def word_count(text: Column) -> Column:
@@ -136,7 +137,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     line = F.when(F.col("size") > 0, F.floor(F.log2(F.greatest(F.col("size"), F.lit(1))) * 4)).otherwise(-1).cast("int")
     rated = rated.withColumn("rate", rate).withColumn("line", line)
-    rated = rated.withColumn("segment", F.pmod(F.xxhash64("id", "size"), F.lit(_SEGMENTS)).cast("int"))
+    parts = max(_SEGMENTS, (slim.agg(F.sum("n")).first()[0] or 0) // _SEGMENT_ROWS)
+    rated = rated.withColumn("segment", F.pmod(F.xxhash64("id", "size"), F.lit(parts)).cast("int"))
     # totals of the segments put each behind the ones before it on its source's line
     segments = rated.groupBy("source", "line", "segment").agg(F.sum("rate").alias("segment_rate"))
     chain = Window.partitionBy("source").orderBy("line", "segment").rowsBetween(Window.unboundedPreceding, -1)
