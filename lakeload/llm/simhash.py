@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeload.llm.common import give_back, column, settled
 from lakeload.llm.components import components
@@ -51,17 +51,16 @@ def fingerprint(text: str | bytes | None, shingle: int = 3) -> int:
 
 
 def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """(``id``, ``fp``): each row's fingerprint as a signed long."""
+    """(``id``, ``text_hash``, ``fp``): each row's fingerprint as a signed long."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["text_hash"], pa.array(found)], names=["id", "text_hash", "fp"])
         give_back()
 
-
-    plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("binary").alias("text"))
-    return plain.mapInArrow(rows, "id long, fp long")
+    plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("binary").alias("text"), _text_hash(text_col).alias("text_hash"))
+    return plain.mapInArrow(rows, "id long, text_hash long, fp long")
 
 
 def _ball(radius: int):
@@ -105,9 +104,7 @@ def near_duplicates(
     come out as often as they came in.
     """
     found = settled(with_fingerprint(docs, id_col, text_col, shingle))
-    least = found.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(near_links(least.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    rooted = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(found, max_bits, F.min("id"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     component = rooted.join(smallest, "root").select("fp", "component_id")
     return found.join(component, "fp").select(
@@ -115,13 +112,30 @@ def near_duplicates(
     )
 
 
+def _rooted(found: DataFrame, max_bits: int, least: Column) -> DataFrame:
+    """(``fp``, ``least``, ``root``): each fingerprint's aggregate ``least`` and the least fingerprint it leads to."""
+    least = found.groupBy("fp").agg(least.alias("least"))
+    roots = components(near_links(least.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    return least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of every component: one with its smallest id.
 
-    Rows without an id stay.
+    Rows that repeat an id with texts of different components stay, one for
+    each component; of texts of one id and component the one with the least
+    hash stays, and one of rows that repeat both. Rows without an id stay.
     """
-    kept = near_duplicates(docs, id_col, text_col, shingle, max_bits).where("id = component_id").select("id").distinct()
-    known = docs.where(column(id_col).isNotNull())
-    single = known.join(kept, known[f"`{id_col}`"].cast("long") == kept["id"], "left_semi")
-    # rows that repeat an id are copies or at least linked: one of them stays
-    return single.dropDuplicates([id_col]).unionByName(docs.where(column(id_col).isNull()))
+    found = settled(with_fingerprint(docs, id_col, text_col, shingle))
+    named = F.when(F.col("id").isNotNull(), F.struct("id", "text_hash"))
+    least = _rooted(found, max_bits, F.min(named)).groupBy("root").agg(F.min("least").alias("least"))
+    least = least.where("least IS NOT NULL").select("least.*")
+    own = [column(c) for c in docs.columns]
+    rows = docs.select(F.struct(*own).alias("_row"), column(id_col).cast("long").alias("id"), _text_hash(text_col).alias("text_hash"))
+    single = rows.where("id IS NOT NULL").join(least, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    kept = single.select("_row").unionByName(rows.where("id IS NULL").select("_row"))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(column(text_col).cast("binary"))

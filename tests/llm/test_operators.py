@@ -169,6 +169,12 @@ def test_odd_rows_in_simhash(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_and_different_texts(spark):
+    rows = [(0, "one two three four five six"), (1, "one two three four five six"), (1, "a wholly other text of its own"), (1, "a wholly other text of its own")]
+    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2]]
+
+
 def test_mix_meets_targets_and_limits(spark):
     docs = documents(SMALL)
     found = {r["doc_id"]: r for r in queries.op3_entropy_mixing(spark, SMALL).collect()}
@@ -302,6 +308,21 @@ def test_language_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_sample_is_the_same_below_the_bound(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(language_kernel, "fit", lambda texts, languages: seen.append(sorted(zip(texts, languages))))
+    language_kernel.train(docs, sample=40)
+    able = [d for d in documents(SMALL) if d["lang"] is not None and d["text"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 3 != 1]
+    order = {r[0]: r[1] for r in docs.selectExpr("doc_id", "xxhash64(doc_id)").collect()}
+    each = 40 // len({d["lang"] for d in able})
+    expected = []
+    for name in {d["lang"] for d in able}:
+        of = sorted((d for d in able if d["lang"] == name), key=lambda d: order[d["doc_id"]])
+        expected += [(d["text"][:20_000], name) for d in of[:each]]
+    assert seen == [sorted(expected)]
+
+
 def test_odd_texts_in_language(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     model = language_kernel.train(docs)
@@ -396,6 +417,11 @@ def test_page_furniture_is_left_out():
     assert html_density.extract(None) == "" and html_density.extract("<script>if (a<b) {}</script>") == ""
 
 
+def test_deeply_nested_pages():
+    inside = "<p>A sentence that is long enough to be the text of a page, far down.</p>"
+    assert html_density.extract("<div>" * 20_000 + inside * 2) == "\n\n".join([inside[3:-4]] * 2)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     columns = docs.columns
