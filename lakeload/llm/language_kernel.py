@@ -128,15 +128,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     fold = text_crc(id_col) % folds
     able = docs.where(column(lang_col).isNotNull() & column(text_col).isNotNull() & column(id_col).isNotNull() & (fold != held_out))
     able = able.select(column(id_col).cast("long").alias("id"), column(lang_col).cast("string").alias("lang"), column(text_col).cast("string").alias("text"))
-    names = [r[0] for r in able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample // 4).collect()]
-    each = max(4, sample // max(len(names), 1))
-    chosen = []
-    for name in names:  # a top-k by hash per language: no language is shuffled whole
-        some = able.where(F.col("lang") == name).withColumn("text", F.substring("text", 1, longest))
-        chosen.append(some.orderBy(F.xxhash64("id"), "id", "text").limit(each))
+    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample // 4).collect()
+    each = max(4, sample // max(len(counts), 1))
     rows = []
-    for part in chosen:
-        rows += part.collect()
+    for name, n in counts:
+        some = able.where(F.col("lang") == name).withColumn("text", F.substring("text", 1, longest))
+        # the least hashes lie below a bound that few rows pass, so that not every task sends as many as are wanted
+        few = some.where(F.xxhash64("id") < int(2**64 * 4 * each / n) - 2**63) if n > 4 * each else some
+        least = few.orderBy(F.xxhash64("id"), "id", "text").limit(each).collect()
+        if len(least) < min(each, n):  # ids that repeat much can leave too few below the bound
+            least = some.orderBy(F.xxhash64("id"), "id", "text").limit(each).collect()
+        rows += least
     rows.sort(key=lambda r: (r["lang"], r["id"], r["text"]))
     # the first landmarks of a language should be any, not the smallest ids
     rows = [rows[i] for i in np.random.default_rng(0).permutation(len(rows))]
