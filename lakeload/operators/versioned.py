@@ -67,20 +67,27 @@ def classify_changes(
     as_of: datetime | str | None = None,
     lookback_days: int | None = None,
     hot: HotKeys | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """``incoming`` with column ``change``: ``new``, ``updated`` or ``unchanged``.
 
     ``new``: key not found; ``updated``: modified later than the existing
     record; otherwise unchanged (or stale). With ``lookback_days``, only
     existing rows modified within that many days before ``as_of`` are looked
-    at, so an older known key counts as new.
+    at, so an older known key counts as new. ``unique`` declares that
+    ``existing`` has one row per key, as a compacted table does: then nothing
+    is aggregated, no keys are read ahead, and adaptive execution splits hot
+    keys of the plain join. Several rows per key would repeat incoming rows.
     """
     if lookback_days is not None:
         if as_of is None:
             raise ValueError("a look-back needs as_of")
         existing = existing.where(F.col(modified) >= minus_days(as_of, lookback_days))
-    known = existing.groupBy(key).agg(F.max(modified).alias("__known_at"), F.lit(True).alias("__known"))
-    joined = lookup_join(incoming, known, [key], "left", hot)
+    if unique:
+        known = existing.select(key, F.col(modified).alias("__known_at"), F.lit(True).alias("__known"))
+    else:
+        known = existing.groupBy(key).agg(F.max(modified).alias("__known_at"), F.lit(True).alias("__known"))
+    joined = lookup_join(incoming, known, [key], "left", {} if unique else hot)
     newer = F.col(modified).isNotNull() & (F.col("__known_at").isNull() | (F.col(modified) > F.col("__known_at")))
     change = F.when(F.col("__known").isNull(), "new").when(newer, "updated").otherwise("unchanged")
     return joined.select(*(source_column(c) for c in incoming.columns), change.alias("change"))
@@ -123,12 +130,14 @@ def changes_by_hash(
     columns: Sequence[str] | None = None,
     hot: HotKeys | None = None,
     order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """``incoming`` with column ``change``: ``new``, ``changed`` or ``same`` by row content.
 
     Existing values are compared as the incoming types. Of several existing
     rows per key the greatest by ``order`` counts, as on a table that is not
-    compacted. Only key, order and hash are shuffled.
+    compacted. Only key, order and hash are shuffled. ``unique`` declares one
+    existing row per key, as in :func:`classify_changes`.
     """
     columns = list(columns or incoming.columns)
     types = {f.name: f.dataType for f in incoming.schema}
@@ -137,9 +146,12 @@ def changes_by_hash(
         F.struct(*(source_column(c) for c in order), F.lit(0).alias("__")).alias("__order"),
     )
     old = alike.select(source_column(key).alias(key), "__order", row_hash(columns).alias("__old_hash"))
-    newest = F.max(F.struct("__order", "__old_hash"))["__old_hash"]
-    old = old.groupBy(source_column(key).alias(key)).agg(newest.alias("__old_hash"))
-    joined = lookup_join(incoming.withColumn("__hash", row_hash(columns)), old, [key], "left", hot)
+    if unique:
+        old = old.drop("__order")
+    else:
+        newest = F.max(F.struct("__order", "__old_hash"))["__old_hash"]
+        old = old.groupBy(source_column(key).alias(key)).agg(newest.alias("__old_hash"))
+    joined = lookup_join(incoming.withColumn("__hash", row_hash(columns)), old, [key], "left", {} if unique else hot)
     change = (
         F.when(F.col("__old_hash").isNull(), "new")
         .when(F.col("__old_hash") == F.col("__hash"), "same")

@@ -396,7 +396,7 @@ def classify_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as a batch against a target that ends in 1999."""
     orders = table(spark, sf_dir, "orders")
     target = orders_before_2000(orders)
-    changes = versioned.classify_changes(order_changes(orders), target, "o_orderkey", "o_orderdate")
+    changes = versioned.classify_changes(order_changes(orders), target, "o_orderkey", "o_orderdate", unique=True)
     return changes.select("o_orderkey", "o_orderdate", "change")
 
 
@@ -406,7 +406,7 @@ def classify_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     target = orders_before_2000(orders)
     changes = versioned.classify_changes(
-        order_changes(orders), target, "o_orderkey", "o_orderdate", "2000-01-01", lookback_days=15
+        order_changes(orders), target, "o_orderkey", "o_orderdate", "2000-01-01", lookback_days=15, unique=True
     )
     return changes.select("o_orderkey", "o_orderdate", "change")
 
@@ -420,7 +420,7 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def row_hash_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    changed = versioned.changes_by_hash(order_changes(orders), orders_before_2000(orders), "o_orderkey")
+    changed = versioned.changes_by_hash(order_changes(orders), orders_before_2000(orders), "o_orderkey", unique=True)
     return changed.select("o_orderkey", "change")
 
 

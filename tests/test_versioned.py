@@ -127,6 +127,18 @@ def test_classify_changes(target, batch):
     }
 
 
+def test_changes_against_one_row_per_key_need_no_job_ahead(spark, target, batch):
+    context = spark.sparkContext
+    context.setJobGroup("ahead", "")
+    changes = versioned.classify_changes(batch, target, "k", "ts", unique=True)
+    hashed = versioned.changes_by_hash(batch, target, "k", unique=True)
+    started = context.statusTracker().getJobIdsForGroup("ahead")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert list(started) == []
+    assert rows(changes) == rows(versioned.classify_changes(batch, target, "k", "ts"))
+    assert rows(hashed) == rows(versioned.changes_by_hash(batch, target, "k"))
+
+
 def test_classify_against_nothing_is_all_new(target, batch):
     got = versioned.classify_changes(batch, target.where("false"), "k", "ts")
     assert {r["change"] for r in got.collect()} == {"new"}
