@@ -131,6 +131,8 @@ def _run(
         batch = extract(source, contract.modified_column, synced)
     report.dropped_columns = extra_columns(batch, contract)
     report.added_columns = missing_columns(batch, contract)
+    # facts, rejects and merge must see the same rows, however the source changes meanwhile
+    batch = table.landed(batch)
 
     tagged = with_reason(batch, contract)
     rejected = F.col(REASON).isNotNull()

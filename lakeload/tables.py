@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from lakeload.contracts import TableContract
 from lakeload.functions.times import UNDATED_MONTH, month_bucket, month_number, ntz, to_second
+from lakeload.operators.conform import source_column
 from lakeload.operators.incremental import date_between
 from lakeload.operators.versioned import (
     MONTH,
@@ -146,6 +147,16 @@ class MonthTable:
         self._intend("append", [(UNDATED_MONTH, 0)])
         self._add_staged()
 
+    def landed(self, batch: DataFrame) -> DataFrame:
+        """``batch`` computed once and read back from the table's own folder; the next batch replaces it.
+
+        Columns without a type, which Parquet can't hold, become text.
+        """
+        folder = f"{self.path}/_lakeload/batch"
+        typed = [source_column(f.name).cast("string").alias(f.name) if f.dataType == T.NullType() else source_column(f.name) for f in batch.schema]
+        batch.select(*typed).write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(batch.select(*typed).schema).parquet(folder)
+
     def merge(
         self,
         batch: DataFrame,
@@ -198,9 +209,17 @@ class MonthTable:
         return F.col(self.contract.modified_column).between(to_second(ntz(first)), to_second(ntz(last)))
 
     def _months_of_records(self, batch: DataFrame) -> list[int]:
-        """Months that hold versions of a batch's records, from the key column alone."""
+        """Months that hold versions of a batch's records, from the key column alone.
+
+        Files are sorted by key, so the batch's key range lets statistics skip
+        whatever lies outside it.
+        """
         key = self.contract.primary_key
-        known = self.read().select(key, MONTH).join(batch.select(key), key, "left_semi")
+        first, last = batch.agg(F.min(key), F.max(key)).first()
+        if first is None:
+            return []
+        known = self.read().where(F.col(key).between(F.lit(first), F.lit(last)))
+        known = known.select(key, MONTH).join(batch.select(key), key, "left_semi")
         return [r[0] for r in known.select(MONTH).distinct().collect()]
 
     def compact(self, months: Iterable[int] | None = None) -> int:
