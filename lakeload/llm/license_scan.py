@@ -1,17 +1,21 @@
 """License notices found by patience alignment with known texts.
 
-A text is looked at in windows of words that overlap so far that every notice
-lies whole in one. A window is aligned with a license text: words that occur
-once in both are anchors, the longest increasing sequence of anchors is kept,
-and the gaps between neighbouring anchors are aligned in the same way; a gap
-without such words is aligned by the longest common subsequence, as both sides
-of it are short. The share of the license text's words that are aligned is its
-coverage. Windows that lack too many of its words to reach the coverage asked
-for are not aligned.
+A text is looked at in windows of words, one from every word of the license text
+on and twice as long as that text, so what is found does not depend on where in
+the text a notice stands. A window is aligned with a license text: words that
+occur once in both are anchors, the longest increasing sequence of anchors is
+kept, and the gaps between neighbouring anchors are aligned in the same way; a
+gap without such words is aligned by the longest common subsequence. The share
+of the license text's words that are aligned is its coverage. From the first
+aligned word on, the window is lengthened as long as that aligns more words.
+Windows that lack too many of the license text's words to reach the coverage
+asked for, or to exceed an overlapping place found before, are not aligned. A
+notice is found if the words to reach the coverage lie within one window.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -139,31 +143,70 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def _bags(words: list[str], at: list[int], wanted: Counter, width: int) -> list[int]:
+    """For the window from each place on, how many words of the license text it has at most."""
+    out, held, have, ahead = [], Counter(), 0, 0
+    for i in at:
+        while ahead < len(at) and at[ahead] < i + width:
+            word = words[at[ahead]]
+            held[word] += 1
+            have += held[word] <= wanted[word]
+            ahead += 1
+        out.append(have)
+        have -= held[words[i]] <= wanted[words[i]]
+        held[words[i]] -= 1
+    return out
+
+
+def _aligned(words: list[str], start: int, stop: int, pattern: list[str]) -> tuple[int, int, int]:
+    """Words aligned, first and behind last word, of the place in the window from ``start`` on."""
+    best, end = (0, start, start), min(stop, start + 2 * len(pattern))
+    while True:
+        pairs = align(words[start:end], pattern)
+        if len(pairs) <= best[0]:
+            return best
+        best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
+        start, longer = best[1], min(stop, max(best[1] + 2 * len(pattern), best[2] + len(pattern)))
+        if longer <= end or len(pairs) == len(pattern):
+            return best
+        end = longer
+
+
+def _places(words: list[str], at: list[int], stop: int, pattern: list[str], wanted: Counter, need: int) -> Iterator[tuple[int, int, int]]:
+    """Places that align ``need`` words, none overlapping, in order; of overlapping ones the best, then the first."""
+    bags, k = _bags(words, at, wanted, 2 * len(pattern)), 0
+    while k < len(at):
+        first, best = k, None
+        while k < len(at) and (best is None or at[k] < best[2]):
+            if bags[k] >= (best[0] + 1 if best else need):
+                place = _aligned(words, at[k], stop, pattern)
+                if best is None and place[0] >= need:
+                    first, best = k, place
+                elif best and place[0] > best[0] and place[1] < best[2]:
+                    best = place
+            k += 1
+        if best:
+            # a window can hold another place before the best one
+            before = at[first : bisect_left(at, best[1])]
+            if len(before) >= need:
+                yield from _places(words, before, best[1], pattern, wanted, need)
+            yield best
+            k = bisect_left(at, best[2])
+
+
 def scan(text: str | None, licenses: dict[str, list[str]], coverage: float = 0.8) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, words aligned, first and behind last word) of each license found; its best place only."""
     words = words_of(text) if text else []
     counts, found = Counter(words), []
     for name, pattern in licenses.items():
-        need = -(-len(pattern) * coverage // 1)
+        need = max(1, math.ceil(len(pattern) * coverage))
         wanted = Counter(pattern)
         if not pattern or sum(min(n, counts[w]) for w, n in wanted.items()) < need:
             continue
-        width, best = 2 * len(pattern), None
-        places = [i for i, w in enumerate(words) if w in wanted]
-        done = -1
-        for start in sorted({max(0, p // len(pattern) - k) * len(pattern) for p in places for k in (0, 1)}):
-            if start <= done:
-                continue
-            done = start
-            window = words[start : start + width]
-            have = Counter(w for w in window if w in wanted)
-            if sum(min(n, wanted[w]) for w, n in have.items()) < need:
-                continue
-            pairs = align(window, pattern)
-            if len(pairs) >= need and (best is None or len(pairs) > best[2]):
-                best = (name, len(pairs) / len(pattern), len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
+        at = [i for i, w in enumerate(words) if w in wanted]
+        best = max(_places(words, at, len(words), pattern, wanted, need), key=lambda p: p[0], default=None)
         if best:
-            found.append(best)
+            found.append((name, best[0] / len(pattern), *best))
     return found
 
 

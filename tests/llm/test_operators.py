@@ -390,6 +390,19 @@ def test_patience_alignment():
     assert license_scan.scan(None, {"MIT": mit}) == []
 
 
+def test_notices_with_inserted_words_at_any_offset():
+    short = license_scan.words_of(license_scan.LICENSES["MIT-notice"])
+    notice = license_scan.words_of("Released under the terms and conditions of the MIT License")
+    for offset in range(2 * len(short)):
+        text = " ".join(["word"] * offset + notice + ["tail"] * 20)
+        assert license_scan.scan(text, {"MIT-notice": short}) == [("MIT-notice", 1.0, 5, offset, offset + len(notice))]
+    isc = license_scan.words_of(license_scan.LICENSES["ISC"])
+    half, more = len(isc) // 2, int(0.6 * len(isc))
+    for offset in range(2 * len(isc)):
+        text = " ".join(["word"] * offset + isc[:half] + ["more"] * more + isc[half:] + ["tail"] * 80)
+        assert license_scan.scan(text, {"ISC": isc}) == [("ISC", 1.0, len(isc), offset, offset + len(isc) + more)]
+
+
 def test_pages_give_back_their_documents(spark):
     texts = {d["doc_id"]: d["text"] for d in documents(SMALL)}
     rows = queries.op10_html_density(spark, SMALL).collect()
