@@ -4,8 +4,10 @@ A page is read into a tree of elements. For every element, the density is its
 characters per tag, raised where few of the characters are link text and
 lowered where many are, compared with the page as a whole. An element's density
 sum is that of its children. The element with the greatest sum is the main
-text; the least density on its path from the body is the threshold, and below
-it other elements that reach the threshold are searched in the same way.
+text; headings, paragraphs and sections beside it belong to it. The least
+density on its path from the body is the threshold: every other block on the
+page that reaches it is kept too, unless a third of its characters or more are
+link text. Text that lies loose between blocks counts as a block.
 Parts that are never article text - scripts, styles, navigation, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments - are
 left out before the densities are computed, by element, role or class name.
@@ -17,6 +19,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,7 +70,7 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 
 
 class _Node:
-    __slots__ = ("name", "children", "parent", "in_article", "in_p", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    __slots__ = ("name", "children", "parent", "in_article", "in_p", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "holds")
 
     def __init__(self, name: str, parent: _Node | None) -> None:
         self.name, self.parent = name, parent
@@ -179,31 +182,41 @@ def _postorder(root: _Node) -> Iterator[_Node]:
         stack += [(c, False) for c in node.children if not isinstance(c, str)]
 
 
+def _count(node: _Node) -> None:
+    """Characters, tags and links of an element from those of its children."""
+    node.chars = node.tags = node.link_chars = node.link_tags = 0
+    node.holds = False  # whether there is a block in it
+    for child in node.children:
+        if isinstance(child, str):
+            node.chars += len(re.sub(r"\s+", "", child))
+        else:
+            node.chars += child.chars
+            node.tags += child.tags + 1
+            node.link_chars += child.chars if child.name == "a" else child.link_chars
+            node.link_tags += child.link_tags + (child.name == "a")
+            node.holds |= child.name in _BLOCKS or child.holds
+
+
+def _density(node: _Node, share: float) -> float:
+    c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
+    if not c:
+        return 0.0
+    base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + share * c + math.e)
+    inside = c / lc * t / lt
+    # a logarithm to a base near one of a number below one would change sign: such elements are all links
+    return c / t * max(math.log(inside), 0.0) / max(math.log(base), 1e-9) if base > 1 and inside > 1 else (c / t if not node.link_chars else 0.0)
+
+
 def _measure(root: _Node) -> None:
     """Characters, tags, densities and density sums of all elements."""
     nodes = list(_postorder(root))
     for node in nodes:
-        node.chars = node.tags = node.link_chars = node.link_tags = 0
-        for child in node.children:
-            if isinstance(child, str):
-                node.chars += len(re.sub(r"\s+", "", child))
-            else:
-                node.chars += child.chars
-                node.tags += child.tags + 1
-                node.link_chars += child.chars if child.name == "a" else child.link_chars
-                node.link_tags += child.link_tags + (child.name == "a")
+        _count(node)
         if node.name == "a":
             node.link_chars = node.chars
     share = root.link_chars / root.chars if root.chars else 0.0
     for node in nodes:
-        c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
-        if not c:
-            node.density = 0.0
-        else:
-            base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + share * c + math.e)
-            inside = c / lc * t / lt
-            # a logarithm to a base near one of a number below one would change sign: such elements are all links
-            node.density = c / t * max(math.log(inside), 0.0) / max(math.log(base), 1e-9) if base > 1 and inside > 1 else (c / t if not node.link_chars else 0.0)
+        node.density = _density(node, share)
         own = sum(child.density for child in node.children if not isinstance(child, str))
         loose = sum(len(child.strip()) for child in node.children if isinstance(child, str))
         node.sum = own + (loose if node.children and any(not isinstance(x, str) for x in node.children) else 0) + (node.density if not own else 0.0)
@@ -226,11 +239,9 @@ def _main_parts(root: _Node) -> list[_Node]:
     while best.parent is not None and (best.name not in ("article", "main", "section", "div", "td", "body")):
         best = best.parent
     # headings, paragraphs and sections beside it belong to the same text
-    while best.parent is not None and best.parent.parent is not None and any(
-        not isinstance(c, str) and c is not best and c.name in _TEXT_PARTS and 2 * c.link_chars < c.chars for c in best.parent.children
-    ):
+    while best.parent is not None and best.parent.parent is not None and any(_beside(c) for c in best.parent.children if c is not best):
         best = best.parent
-    threshold = min(node.density for node in path)
+    threshold, share = min(node.density for node in path), root.link_chars / root.chars
     article = best
     while article is not None and article.name not in ("article", "main"):
         article = article.parent
@@ -244,15 +255,35 @@ def _main_parts(root: _Node) -> list[_Node]:
     stack = [root]
     while stack:
         node = stack.pop()
-        if node in above:  # on the way to the main part
-            stack += [c for c in reversed(node.children) if not isinstance(c, str)]
-        elif node is best or (
-            node.name == best.name and node.density >= threshold and node.sum >= 0.25 * best.sum and node.link_chars * 3 < node.chars
-        ):
+        if node is best or node not in above and node.chars and node.density >= threshold and node.link_chars * 3 < node.chars:
             taken.append(node)
+        elif node.parent is best.parent and _beside(node):  # the body itself is not taken whole, as it holds the rest of the page
+            taken.append(node)
+        elif node.holds:
+            stack += reversed(_blocks_in(node, share))
     return taken
 
 
+def _beside(item: _Node | str) -> bool:
+    """Whether an element beside the main part belongs to it."""
+    return not isinstance(item, str) and item.name in _TEXT_PARTS and 2 * item.link_chars < item.chars
+
+
+def _blocks_in(node: _Node, share: float) -> list[_Node]:
+    """The blocks an element holds and, as elements of their own, what lies loose between them."""
+    out: list[_Node] = []
+    for loose, children in groupby(node.children, lambda c: isinstance(c, str) or c.name not in _BLOCKS and not c.holds):
+        if not loose:
+            out += children
+            continue
+        run = _Node("#text", node)
+        run.children += children
+        _count(run)
+        run.density = _density(run, share)
+        out.append(run)
+    return out
+
+
 def _blocks(node: _Node) -> list[str]:
     """Texts of the blocks below an element, white space joined, empty ones left out."""
     out: list[str] = []

@@ -430,6 +430,23 @@ def test_page_furniture_is_left_out():
     assert html_density.extract(None) == "" and html_density.extract("<script>if (a<b) {}</script>") == ""
 
 
+def test_text_beside_the_main_part_stays():
+    long = ["".join(f"<p>{part} {i}. {'Words of a long paragraph. ' * 10}</p>" for i in range(n)) for part, n in (("First", 1), ("Second", 10))]
+    texts = [" ".join(p.split()) for p in re.findall("<p>(.*?)</p>", "".join(long))]
+    links = "<div><ul>" + "<li><a href=x>One more page</a></li>" * 8 + "</ul></div>"
+    page = f"<body>{links}<div id=page><div>{long[0]}</div><div>{long[1]}</div></div>{links}</body>"
+    assert html_density.extract(page).split("\n\n") == texts
+    # another element name, and one block among links
+    page = f"<body>{links}<div id=page><section>{long[0]}</section><div>{long[1]}</div></div></body>"
+    assert html_density.extract(page).split("\n\n") == texts
+    page = f"<body><div>{links}{long[0]}</div><div>{long[1]}</div></body>"
+    assert html_density.extract(page).split("\n\n") == texts
+    page = f"<body>{links}<h1>Title</h1><p>Lead</p><div>{long[1]}</div>{links}</body>"
+    assert html_density.extract(page).split("\n\n") == ["Title", "Lead", *texts[1:]]
+    page = f"<body>{links}{long[0][3:-4]} and <b>more</b>.<div>{long[1]}</div>Short</body>"
+    assert html_density.extract(page).split("\n\n") == [texts[0] + " and more.", *texts[1:]]
+
+
 def test_deeply_nested_pages():
     inside = "<p>A sentence that is long enough to be the text of a page, far down.</p>"
     assert html_density.extract("<div>" * 20_000 + inside * 2) == "\n\n".join([inside[3:-4]] * 2)
