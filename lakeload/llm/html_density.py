@@ -10,7 +10,11 @@ page that reaches it is kept too, unless a third of its characters or more are
 link text. Text that lies loose between blocks counts as a block.
 Parts that are never article text - scripts, styles, navigation, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments - are
-left out before the densities are computed, by element, role or class name.
+left out before the densities are computed, by element, role or whole class
+name or id; a heading's id says nothing, as it is made from its words. Inside
+an article an element so named is left out only if a third of its characters
+or more are link text or, headings and paragraphs aside, if it is less than a
+third as dense as the article.
 """
 
 from __future__ import annotations
@@ -54,12 +58,18 @@ _ENDS_WITH = {
 }
 _TEXT_PARTS = frozenset("h1 h2 h3 h4 h5 h6 p section blockquote pre ul ol dl figure table".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar alert toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|notification"
+_FURNITURE = (
+    r"(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|notification"
     r"|popup|modal|overlay|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|masthead|toolbar|comments?|commentlist|respond|replies|reply"
-    r"|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widget|pagination|pager|skip|tags)(?:$|[\s_-])"
+    r"|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widget|pagination|pager|skip|tags)"
+)
+# whole names, or such words with those that say where it stands and what holds it, as in site-nav or comment-list
+_NAMES = re.compile(
+    r"(?:(?:site|page|top|bottom|left|right|primary|secondary|global|header|mobile|sticky|wp|js)[_-])*"
+    rf"{_FURNITURE}(?:[_-](?:{_FURNITURE}|area|bar|block|box|btn|buttons?|container|icons?|inner|list|links?|outer|panel|posts|slot|wrap|wrapper|\d+))*"
 )
 _KEEP = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story)(?:$|[\s_-])")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -70,32 +80,33 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 
 
 class _Node:
-    __slots__ = ("name", "children", "parent", "in_article", "in_p", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "holds")
+    __slots__ = ("name", "children", "parent", "in_article", "in_p", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "holds")
 
     def __init__(self, name: str, parent: _Node | None) -> None:
-        self.name, self.parent = name, parent
+        self.name, self.parent, self.named = name, parent, False
         self.children: list[_Node | str] = []
         # what an element lies in is handed down, so that deep pages take no walk up for every element
         self.in_article = name in ("article", "main") or (parent is not None and parent.in_article)
         self.in_p = name == "p" or (parent is not None and parent.in_p and name not in _P_LIMITS)
 
 
-def _dropped(name: str, attributes: str, within_article: bool) -> bool:
+def _dropped(name: str, attributes: dict[str, str], within_article: bool) -> bool:
     if name in _DROPPED:
         return True
     if name == "header":
         return not within_article
-    if not attributes:
-        return False
-    found = {a.lower(): html.unescape(x or y or z) for a, x, y, z in _ATTRIBUTE.findall(attributes)}
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
+    return name not in ("body", "html", "article", "main") and attributes.get("role", "").lower() in _ROLES
+
+
+def _furniture(name: str, attributes: dict[str, str]) -> bool:
+    """Whether the class names or the id are those of a page's furniture."""
     if name in ("body", "html", "article", "main"):
         return False
-    if found.get("role", "").lower() in _ROLES:
-        return True
-    named = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", f"{found.get('class', '')} {found.get('id', '')}").lower()
-    return bool(_NAMES.search(named)) and not _KEEP.search(named)
+    kinds, own = (re.sub(r"(?<=[a-z])(?=[A-Z])", "-", attributes.get(k, "")).lower() for k in ("class", "id"))
+    names = kinds.split() + ([] if name in _HEADINGS else own.split())
+    return any(map(_NAMES.fullmatch, names)) and not _KEEP.search(f"{kinds} {own}")
 
 
 def parse(page: str) -> _Node:
@@ -131,7 +142,7 @@ def parse(page: str) -> _Node:
         closed = attributes.endswith("/") and name not in _BLOCKS
         if name in _RAW or name in _ESCAPABLE:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
-            if name in _RAW or _dropped(name, attributes, False) or skipped:
+            if name in _RAW or name in _DROPPED or skipped:
                 at = end.end() if end else size
             continue
         if skipped:
@@ -150,11 +161,14 @@ def parse(page: str) -> _Node:
             if name in ("br", "hr", "img"):
                 node.children.append(_Node(name, node))
             continue
-        if _dropped(name, attributes, node.in_article):
+        given = {a.lower(): html.unescape(x or y or z) for a, x, y, z in _ATTRIBUTE.findall(attributes)} if attributes else {}
+        furniture = _furniture(name, given)
+        if _dropped(name, given, node.in_article) or furniture and not node.in_article:
             if not closed:
                 skipped.append(name)
             continue
         below = _Node(name, node)
+        below.named = furniture
         node.children.append(below)
         if not closed:
             node = below
@@ -226,6 +240,25 @@ def _measure(root: _Node) -> None:
                 node.best = child.best
 
 
+def _without_furniture(root: _Node) -> bool:
+    """Leave out the elements in articles that their names and their links or density speak against; whether there were any."""
+    out: set[_Node] = set()
+    stack = [(root, root)]
+    while stack:
+        node, article = stack.pop()
+        if node.named:
+            sparse = 3 * node.chars * max(article.tags, 1) < article.chars * max(node.tags, 1)
+            if 3 * node.link_chars >= node.chars or sparse and node.name != "p" and node.name not in _HEADINGS:
+                out.add(node)
+                continue
+        if node.name in ("article", "main"):
+            article = node
+        stack += [(c, article) for c in node.children if not isinstance(c, str)]
+    for parent in {node.parent for node in out}:
+        parent.children = [c for c in parent.children if c not in out]
+    return bool(out)
+
+
 def _main_parts(root: _Node) -> list[_Node]:
     """The elements that hold the main text, in page order."""
     best = root.best
@@ -320,6 +353,8 @@ def extract(page: str | None) -> str:
         return ""
     root = parse(page)
     _measure(root)
+    if _without_furniture(root):
+        _measure(root)
     return "\n\n".join(block for part in _main_parts(root) for block in _blocks(part))
 
 

@@ -430,6 +430,22 @@ def test_page_furniture_is_left_out():
     assert html_density.extract(None) == "" and html_density.extract("<script>if (a<b) {}</script>") == ""
 
 
+def test_names_alone_take_nothing_from_an_article():
+    texts = [f"Paragraph {i}. {'Words of a long paragraph. ' * 8}".strip() for i in range(6)]
+    p = [f"<p>{t}</p>" for t in texts]
+    page = f"""<body><div class="site-nav">Pages of the site that are here</div><article><h1>Title</h1>{p[0]}
+    <section id="related-work"><h2 id="related">Related work</h2>{p[1]}</section><h2 id="search-and-rescue">Search and rescue</h2>{p[2]}
+    <h2 id="comments-on-the-treaty">Comments on the treaty</h2>{p[3]}<p class="notice">{texts[4]}</p><p class="notice">Take care.</p>
+    <div class="share-buttons"><a href=x>Share this text</a> <a href=y>Tell others</a></div>
+    <section id="notice"><h2>Notice</h2>{p[5]}</section>
+    <div class="comment-list"><div><i>A</i><b>1</b><p>First!</p></div><div><i>B</i><b>2</b><p>Second!</p></div></div></article></body>"""
+    expected = ["Title", texts[0], "Related work", texts[1], "Search and rescue", texts[2], "Comments on the treaty", texts[3], texts[4]]
+    assert html_density.extract(page).split("\n\n") == [*expected, "Take care.", "Notice", texts[5]]
+    # no article element
+    page = f'<body><div class="related-posts">{p[5]}</div><div id=page><h2 id="skip">Skip</h2>{p[0]}<section id="related-work">{p[1]}</section></div></body>'
+    assert html_density.extract(page).split("\n\n") == ["Skip", *texts[:2]]
+
+
 def test_text_beside_the_main_part_stays():
     long = ["".join(f"<p>{part} {i}. {'Words of a long paragraph. ' * 10}</p>" for i in range(n)) for part, n in (("First", 1), ("Second", 10))]
     texts = [" ".join(p.split()) for p in re.findall("<p>(.*?)</p>", "".join(long))]
