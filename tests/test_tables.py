@@ -12,7 +12,7 @@ from pyspark.sql import functions as F, types as T
 from lakeload.contracts import TableContract, column
 from lakeload.operators.conform import conform
 from lakeload.operators.versioned import months_between
-from lakeload.plans import jobs
+from lakeload.plans import jobs, queries
 from lakeload.plans.load import read_audit, run_load
 from lakeload.scratch import shared_dir
 from lakeload.sources import files, jdbc
@@ -386,6 +386,18 @@ def test_formats_are_chosen_by_extension(spark, tmp_path):
             files.read_landed(spark, path)
 
 
+def test_json_documents_are_bounded_and_follow_the_rows(spark, tmp_path):
+    found = {}
+    for n in (100_000, 300_000):
+        orders = spark.range(n).select(F.col("id").alias("o_orderkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.5).alias("o_totalprice"), F.lit("LOW").alias("o_orderpriority"))
+        orders.coalesce(1).write.parquet(str(tmp_path / f"{n}" / "orders.parquet"))
+        read = queries.scan_json_document(spark, str(tmp_path / f"{n}"))
+        assert read.agg(F.countDistinct("o_orderkey")).first()[0] == read.count() == n
+        sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+        found[n] = (len(sizes), max(sizes))
+    assert found == {100_000: (16, 6_250), 300_000: (48, 6_250)}
+
+
 def test_append_is_strict_and_snapshot_replaces(spark, tmp_path):
     path = str(tmp_path / "set")
     df = spark.createDataFrame([(1, "a")], "n long, s string")
