@@ -9,15 +9,16 @@ gap without such words is aligned by the longest common subsequence. The share
 of the license text's words that are aligned is its coverage. From the first
 aligned word on, the window is lengthened as long as that aligns more words.
 Windows that lack too many of the license text's words to reach the coverage
-asked for, or to exceed an overlapping place found before, are not aligned. A
-notice is found if the words to reach the coverage lie within one window.
+asked for are not aligned. Of overlapping places those are kept that together
+align most words. A notice is found if the words to reach the coverage lie
+within one window.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,31 +29,69 @@ from lakeload.llm.common import give_back, column, no_cycle_search
 
 _WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 
-# Notices as their licenses ask for them.
+# The parts of short licenses.
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+    ' documentation files (the "Software"), to deal in the Software without restriction, including without limitation'
+    " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+    " to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above"
+    " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+    ' Software.'
+)
+_MIT_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE'
+    " WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR"
+    " COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR"
+    " OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+    " granted, provided that the above copyright notice and this permission notice appear in all copies."
+)
+_ISC_DISCLAIMER = (
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL'
+    " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+    " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN"
+    " ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF"
+    " THIS SOFTWARE."
+)
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
+    " following conditions are met: Redistributions of source code must retain the above copyright notice, this list of"
+    " conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice,"
+    " this list of conditions and the following disclaimer in the documentation and/or other materials provided with the"
+    " distribution."
+)
+_BSD_THIRD_CLAUSE = (
+    " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission."
+)
+_BSD_DISCLAIMER = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,'
+    " INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE"
+    " DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,"
+    " SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,"
+    " WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF"
+    " THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+# Notices as their licenses ask for them, whole short licenses, and their parts, which can stand alone.
 LICENSES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-        ' documentation files (the "Software"), to deal in the Software without restriction, including without limitation'
-        " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
-        " to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above"
-        " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
-        ' Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED'
-    ),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
-        " granted, provided that the above copyright notice and this permission notice appear in all copies."
-    ),
-    "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the"
-        " following conditions are met: Redistributions of source code must retain the above copyright notice, this list of"
-        " conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice,"
-        " this list of conditions and the following disclaimer in the documentation and/or other materials provided with the"
-        " distribution."
-    ),
+    "MIT": _MIT_GRANT + _MIT_DISCLAIMER,
+    "MIT-grant": _MIT_GRANT,
+    "MIT-disclaimer": _MIT_DISCLAIMER,
+    "ISC": _ISC_GRANT + _ISC_DISCLAIMER,
+    "ISC-grant": _ISC_GRANT,
+    "ISC-disclaimer": _ISC_DISCLAIMER,
+    "BSD-2-Clause": _BSD_CONDITIONS + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD_CONDITIONS + _BSD_THIRD_CLAUSE + _BSD_DISCLAIMER,
+    "BSD-conditions": _BSD_CONDITIONS,
+    "BSD-disclaimer": _BSD_DISCLAIMER,
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with"
         " the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by"
@@ -158,44 +197,50 @@ def _bags(words: list[str], at: list[int], wanted: Counter, width: int) -> list[
     return out
 
 
-def _aligned(words: list[str], start: int, stop: int, pattern: list[str]) -> tuple[int, int, int]:
-    """Words aligned, first and behind last word, of the place in the window from ``start`` on."""
-    best, end = (0, start, start), min(stop, start + 2 * len(pattern))
+def _aligned(words: list[str], start: int, end: int, pattern: list[str]) -> tuple[int, int, int]:
+    """Words aligned, first and behind last word, of the place in a window."""
+    best = (0, start, start)
     while True:
         pairs = align(words[start:end], pattern)
         if len(pairs) <= best[0]:
             return best
         best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
-        start, longer = best[1], min(stop, max(best[1] + 2 * len(pattern), best[2] + len(pattern)))
+        start, longer = best[1], min(len(words), max(best[1] + 2 * len(pattern), best[2] + len(pattern)))
         if longer <= end or len(pairs) == len(pattern):
             return best
         end = longer
 
 
-def _places(words: list[str], at: list[int], stop: int, pattern: list[str], wanted: Counter, need: int) -> Iterator[tuple[int, int, int]]:
-    """Places that align ``need`` words, none overlapping, in order; of overlapping ones the best, then the first."""
-    bags, k = _bags(words, at, wanted, 2 * len(pattern)), 0
-    while k < len(at):
-        first, best = k, None
-        while k < len(at) and (best is None or at[k] < best[2]):
-            if bags[k] >= (best[0] + 1 if best else need):
-                place = _aligned(words, at[k], stop, pattern)
-                if best is None and place[0] >= need:
-                    first, best = k, place
-                elif best and place[0] > best[0] and place[1] < best[2]:
-                    best = place
-            k += 1
-        if best:
-            # a window can hold another place before the best one
-            before = at[first : bisect_left(at, best[1])]
-            if len(before) >= need:
-                yield from _places(words, before, best[1], pattern, wanted, need)
-            yield best
-            k = bisect_left(at, best[2])
-
-
-def scan(text: str | None, licenses: dict[str, list[str]], coverage: float = 0.8) -> list[tuple[str, float, int, int, int]]:
-    """(license, coverage, words aligned, first and behind last word) of each license found; its best place only."""
+def _places(words: list[str], pattern: list[str], wanted: Counter, need: int) -> list[tuple[int, int, int]]:
+    """Places that align ``need`` words, none overlapping, in order: those that align most words together, in the shortest spans."""
+    at, size, past = [i for i, w in enumerate(words) if w in wanted], len(pattern), 0
+    found: set[tuple[int, int, int]] = set()
+    for start, bag in zip(at, _bags(words, at, wanted, 2 * size)):
+        if bag < need or start < past:
+            continue
+        # the long window bridges inserted words, the short ones keep it from reaching into the next notice
+        for end in (start + size, start + size + size // 4 + 1):
+            if pairs := align(words[start:end], pattern):
+                found.add((len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1))
+        if (size, start, start + size) in found:  # nothing overlaps a notice without changes
+            past = start + size
+        else:
+            found.add(_aligned(words, start, min(len(words), start + 2 * size), pattern))
+    places = sorted((p for p in found if p[0] >= need), key=lambda p: (p[2], p[1]))
+    ends = [end for _, _, end in places]
+    best: list[tuple[int, int, int]] = [(0, 0, -1)]  # words aligned and spans of the first places, and the last one taken
+    for k, (n, first, end) in enumerate(places):
+        before = best[bisect_right(ends, first, 0, k)]
+        best.append(max(best[-1], (before[0] + n, before[1] - (end - first), k), key=lambda b: b[:2]))
+    out, k = [], best[-1][2]
+    while k >= 0:
+        out.append(places[k])
+        k = best[bisect_right(ends, places[k][1], 0, k)][2]
+    return out[::-1]
+
+
+def scan(text: str | None, licenses: dict[str, list[str]], coverage: float = 0.8, every: bool = False) -> list[tuple[str, float, int, int, int]]:
+    """(license, coverage, words aligned, first and behind last word) of the best place of each license found, or of ``every`` place."""
     words = words_of(text) if text else []
     counts, found = Counter(words), []
     for name, pattern in licenses.items():
@@ -203,18 +248,20 @@ def scan(text: str | None, licenses: dict[str, list[str]], coverage: float = 0.8
         wanted = Counter(pattern)
         if not pattern or sum(min(n, counts[w]) for w, n in wanted.items()) < need:
             continue
-        at = [i for i, w in enumerate(words) if w in wanted]
-        best = max(_places(words, at, len(words), pattern, wanted, need), key=lambda p: p[0], default=None)
-        if best:
-            found.append((name, best[0] / len(pattern), *best))
+        places = _places(words, pattern, wanted, need)
+        if places and not every:
+            places = [max(places, key=lambda p: p[0])]
+        found += [(name, place[0] / len(pattern), *place) for place in places]
     return found
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: dict[str, str] | None = None, coverage: float = 0.8) -> DataFrame:
-    """A row per document and license found: id, ``license``, ``coverage``, ``n_aligned``, ``first_word``, ``end_word``.
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licenses: dict[str, str] | None = None, coverage: float = 0.8, every: bool = True) -> DataFrame:
+    """A row per place of a license in a document: id, ``license``, ``coverage``, ``n_aligned``, ``first_word``, ``end_word``.
 
-    Null and empty texts hold no license. Repeated rows are scanned each. Of
-    equally covered places of a license the first counts.
+    Null and empty texts hold no license. Repeated rows are scanned each.
+    Places of one license do not overlap; places of different licenses can. If
+    not ``every`` place is asked for, the best of each license is returned, of
+    equally covered ones the first.
     """
     known = {name: words_of(text) for name, text in (licenses or LICENSES).items()}
 
@@ -223,7 +270,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ids, found = batch["id"].to_pylist(), []
             with no_cycle_search():
                 for i, text in zip(ids, batch["text"].to_pylist()):
-                    found += [(i, *hit) for hit in scan(text, known, coverage)]
+                    found += [(i, *hit) for hit in scan(text, known, coverage, every)]
             columns = list(zip(*found)) or [[]] * 6
             types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             names = ["id", "license", "coverage", "n_aligned", "first_word", "end_word"]

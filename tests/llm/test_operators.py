@@ -403,6 +403,24 @@ def test_notices_with_inserted_words_at_any_offset():
         assert license_scan.scan(text, {"ISC": isc}) == [("ISC", 1.0, len(isc), offset, offset + len(isc) + more)]
 
 
+def test_every_place_and_whole_texts_of_licenses(spark):
+    known = {name: license_scan.words_of(text) for name, text in license_scan.LICENSES.items()}
+    mit, line = known["MIT"], "Released under the MIT License."
+    changed = mit[:60] + ["changed"] + mit[61:]
+    text = " ".join(["the", "software"] * 20 + changed + mit + ["word"] * 9 + mit + changed)
+    (n, first) = (len(mit), 40)
+    found = [h[2:] for h in license_scan.scan(text, {"MIT": mit}, every=True)]
+    assert found == [(n - 1, first, first + n), (n, first + n, first + 2 * n), (n, first + 2 * n + 9, first + 3 * n + 9), (n - 1, first + 3 * n + 9, first + 4 * n + 9)]
+    docs = spark.createDataFrame([(1, f"{line} More. {line}"), (2, None)], "doc_id long, text string")
+    assert [r["first_word"] for r in license_scan.license_scan(docs).where("license = 'MIT-notice'").orderBy("first_word").collect()] == [0, 6]
+    assert license_scan.license_scan(docs, every=False).where("license = 'MIT-notice'").count() == 1
+    for name, rest in (("MIT", "MIT-disclaimer"), ("ISC", "ISC-disclaimer"), ("BSD-2-Clause", "BSD-disclaimer"), ("BSD-3-Clause", "BSD-disclaimer")):
+        covered = {h[0]: h[1] for h in license_scan.scan(license_scan.LICENSES[name], known)}
+        assert covered[name] == covered[rest] == 1
+        assert rest in {h[0] for h in license_scan.scan(license_scan.LICENSES[rest], known)}
+    assert {h[0]: h[1] for h in license_scan.scan(license_scan.LICENSES["BSD-2-Clause"], known)}.get("BSD-3-Clause", 0) < 1
+
+
 def test_pages_give_back_their_documents(spark):
     texts = {d["doc_id"]: d["text"] for d in documents(SMALL)}
     rows = queries.op10_html_density(spark, SMALL).collect()
