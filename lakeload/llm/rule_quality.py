@@ -214,16 +214,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on labelled rows outside the held-out fold, at most ``sample`` of them.
 
     The fold of a row is the CRC-32 of its id's text modulo ``folds``. If there
-    are more labelled rows, those least by a hash of the id are taken, so the
-    choice doesn't depend on their order.
+    are more labelled rows, those least by a hash of the id are taken, and of
+    texts that share an id the one least by its hash, so the choice doesn't
+    depend on their order.
     """
     known = labels.select(column(id_col).cast("long").alias("l_id"), column(label_col).cast("int").alias("l_label"))
     known = known.where("l_label IN (0, 1) AND l_id IS NOT NULL").where(F.crc32(F.col("l_id").cast("string").cast("binary")) % folds != held_out)
     known = known.orderBy(F.xxhash64("l_id"), "l_id", "l_label").limit(sample)
     # at most ``sample`` pairs of numbers
     chosen = docs.join(F.broadcast(known), column(id_col).cast("long") == F.col("l_id"))
-    rows = with_statistics(chosen.select(F.struct("l_id", "l_label").alias("key"), column(text_col).alias("text"), F.col("l_id")), "l_id", "text", carry=True)
-    rows = rows.select(*STATISTICS, F.col("_row.key.l_label").alias("label"), "id").limit(4 * sample).toPandas()
+    key = F.struct("l_id", "l_label", F.xxhash64(column(text_col)).alias("hash")).alias("key")
+    rows = with_statistics(chosen.select(key, column(text_col).alias("text"), F.col("l_id")), "l_id", "text", carry=True)
+    least = F.min(F.struct(F.col("_row.key.hash"), *STATISTICS)).alias("least")
+    rows = rows.groupBy("id", F.col("_row.key.l_label").alias("label")).agg(least).select("least.*", "id", "label").toPandas()
     rows = rows.sort_values(["id", "label", *STATISTICS])
     return fit_rules(rows[list(STATISTICS)].to_numpy(np.float64), rows["label"].to_numpy(np.float64))
 

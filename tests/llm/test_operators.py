@@ -339,6 +339,17 @@ def test_quality_held_out(spark):
     assert sum(rows[i]["predicted"] == labels[i] for i in held) >= 0.95 * len(held)
 
 
+def test_quality_learns_from_one_row_per_id_and_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rule_quality, "fit_rules", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    texts = [(i, " ".join(["word", "other"] * (i + k))) for i in range(1, 5) for k in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    for rows in (texts, texts[::-1]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        rule_quality.train(docs, labels, folds=1, held_out=1, sample=4)
+    assert seen[0] == seen[1] and seen[0][1] == [1, 0, 1, 0]
+
+
 def test_rules_compile_to_what_they_say(spark):
     rng = np.random.default_rng(0)
     x = rng.random((400, len(rule_quality.STATISTICS)))
