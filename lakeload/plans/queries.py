@@ -22,6 +22,7 @@ from lakeload.tables import MonthTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+CSV_BYTES = 16 << 20  # of text in a file that is read as a whole
 
 
 def query(fn: Query) -> Query:
@@ -75,7 +76,8 @@ def scan_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     path = run_dir(spark, "landed") + "/documents.csv"
     kept = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    documents.repartition(4, "doc_id").write.options(**kept).csv(path, header=True, quoteAll=True)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    documents.repartition(max(4, size // CSV_BYTES + 1), "doc_id").write.options(**kept).csv(path, header=True, quoteAll=True)
     return files.read_landed(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -609,13 +611,13 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files landed in the wrong order: the later modification stays."""
+    """Two sets of files landed in the wrong order: the later modification stays."""
     events = table(spark, sf_dir, "events")
     folder = run_dir(spark, "stream")
     later = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("event_type", F.lit("corrected"))
     target = MonthTable(spark, folder + "/events", EVENTS.but(scope="primary_key"))
     for rows in (later, events):
-        rows.coalesce(1).write.mode("append").parquet(folder + "/landed")
+        rows.write.mode("append").parquet(folder + "/landed")
         streams.stream_load(spark, folder + "/landed", events.schema, target, folder + "/checkpoint", as_of=FIRST_LOAD).awaitTermination()
     return target.read().select("event_id", "ts", "event_type")
 

@@ -398,6 +398,22 @@ def test_json_documents_are_bounded_and_follow_the_rows(spark, tmp_path):
     assert found == {100_000: (16, 6_250), 300_000: (48, 6_250)}
 
 
+def test_landed_files_follow_the_table(spark, tmp_path, monkeypatch):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.repeat(F.lit('"a"\n'), 100).alias("text"))
+    docs.write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    assert len(queries.scan_csv_quoted(spark, str(tmp_path / "in")).inputFiles()) == 4
+    monkeypatch.setattr(queries, "CSV_BYTES", 4_000)
+    read = queries.scan_csv_quoted(spark, str(tmp_path / "in"))
+    assert len(read.inputFiles()) == 11 and read.count() == 100
+
+    events = spark.range(0, 40, 1, 4).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-05' AS ts", "id AS user_id", "'click' AS event_type", "1.5D AS value", "'' AS props")
+    events.write.parquet(str(tmp_path / "in" / "events.parquet"))
+    monkeypatch.setattr(queries, "run_dir", lambda spark, name: str(tmp_path / name))
+    late = queries.stream_late_file(spark, str(tmp_path / "in"))
+    assert [tuple(r) for r in late.groupBy("event_type").count().collect()] == [("corrected", 40)]
+    assert len(list((tmp_path / "stream" / "landed").glob("*.parquet"))) > 2
+
+
 def test_append_is_strict_and_snapshot_replaces(spark, tmp_path):
     path = str(tmp_path / "set")
     df = spark.createDataFrame([(1, "a")], "n long, s string")
