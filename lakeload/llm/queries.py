@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeload.llm import bpe_automaton, hamming_search, html_density, language_kernel, license_scan, line_quality, mixing, rule_quality, simhash, suffix_dedup
+from lakeload.llm import bpe_automaton, hamming_search, html_density, language_kernel, license_scan, line_quality, mixing, rule_quality, sharding, simhash, suffix_dedup
 from lakeload.llm.common import table
+from lakeload.scratch import run_dir
 
 EMBEDDING_DIMS = 64
 TOP_K = 10
@@ -63,6 +64,10 @@ def op10_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.main_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), run_dir(spark, "slot-map"), shards=8)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_simhash_ball,
         op10_html_density,
+        op11_virtual_slots,
         pipeline,
     )
 }
