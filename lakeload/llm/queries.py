@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeload.llm import bpe_automaton, hamming_search, html_density, language_kernel, license_scan, line_quality, mixing, rule_quality, sharding, simhash, suffix_dedup
+from lakeload.llm import bpe_automaton, divergence, hamming_search, html_density, language_kernel, license_scan, line_quality, mixing, periodic_runs, rule_quality, sharding, simhash, suffix_dedup
 from lakeload.llm.common import table
 from lakeload.scratch import run_dir
 
@@ -68,6 +68,14 @@ def op11_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), run_dir(spark, "slot-map"), shards=8)
 
 
+def op12_segment_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, best=50)
+
+
+def op13_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True, with_text=False)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -86,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_ball,
         op10_html_density,
         op11_virtual_slots,
+        op12_segment_trees,
+        op13_repair_runs,
         pipeline,
     )
 }
