@@ -9,10 +9,11 @@ contract can equally be read from ``spark.table(name).schema``.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 DECLARED = "declared"
 DEFAULT = "CURRENT_DEFAULT"
@@ -162,8 +163,61 @@ def contract_from_description(name: str, rows: Iterable[Sequence[str]], **facts:
 
 
 def contract_from_table(spark: SparkSession, table: str, **facts: object) -> TableContract:
-    """Contract of a catalog table, with the column defaults Spark stores."""
-    return _contract(table.split(".")[-1], spark.table(table).schema, facts)
+    """Contract of a catalog table, with the column defaults Spark stores.
+
+    A column's comment may name its warehouse type, as :func:`create_table`
+    writes it. Defaults of text are SQL literals there and plain text here; the
+    instant of the insert is ``now()``.
+    """
+    fields = []
+    for f in spark.table(table).schema:
+        metadata = dict(f.metadata)
+        kind = metadata.pop("comment", None)
+        if kind is not None and (kind in SPARK_TYPES or re.fullmatch(r"Decimal\(\d+,\s*\d+\)", kind)):
+            metadata[DECLARED] = kind
+        default = metadata.get(DEFAULT)
+        if default and "current_timestamp" in default.lower():
+            metadata[DEFAULT] = "now()"
+        elif default and isinstance(f.dataType, T.StringType):
+            metadata[DEFAULT] = spark.sql(f"SELECT CAST({default} AS STRING)").first()[0]
+        fields.append(T.StructField(f.name, f.dataType, f.nullable, metadata))
+    return _contract(table.split(".")[-1], T.StructType(fields), facts)
+
+
+def create_table(spark: SparkSession, contract: TableContract, table: str, path: str) -> None:
+    """A Parquet catalog table of a contract at ``path``, its defaults declared to the catalog.
+
+    Spark then fills columns that an insert leaves out (:func:`insert_into`).
+    ``now()`` becomes the instant of the insert in UTC; defaults that are no SQL
+    of their type are text.
+    """
+    spark.sql(f"CREATE TABLE {table} ({', '.join(_column_ddl(spark, f) for f in contract.schema)}) USING parquet LOCATION '{path}'")
+
+
+def _column_ddl(spark: SparkSession, f: T.StructField) -> str:
+    name, text = "`" + f.name.replace("`", "``") + "`", f.metadata.get(DEFAULT)
+    comment = f" COMMENT '{declared_type(f)}'"
+    if not text:
+        return f"{name} {f.dataType.simpleString()}{comment}"
+    if "now()" in text:
+        value = "to_utc_timestamp(current_timestamp(), current_timezone())" if isinstance(f.dataType, T.TimestampType) else f"CAST(to_utc_timestamp(current_timestamp(), current_timezone()) AS {f.dataType.simpleString()})"
+    elif isinstance(f.dataType, T.StringType):
+        quoted = text.replace("\\", "\\\\").replace("'", "\\'")
+        value = f"'{quoted}'"
+    else:
+        value = f"CAST({text} AS {f.dataType.simpleString()})"
+    return f"{name} {f.dataType.simpleString()} DEFAULT {value}{comment}"
+
+
+def insert_into(df: DataFrame, table: str) -> None:
+    """Insert ``df`` by column names; the catalog's defaults fill the columns it lacks."""
+    view = f"insert_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(view)
+    names = ", ".join("`" + c.replace("`", "``") + "`" for c in df.columns)
+    try:
+        df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def contract_from_schema(name: str, schema: T.StructType, **facts: object) -> TableContract:

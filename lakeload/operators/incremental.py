@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakeload.functions.casts import wall_clock
 from lakeload.functions.times import minus_months, ntz
@@ -73,6 +73,17 @@ def batch_bounds(df: DataFrame, modified: str) -> DataFrame:
     )
 
 
+def observed_bounds(df: DataFrame, modified: str, name: str = "bounds") -> tuple[DataFrame, Observation]:
+    """``df`` to be written, and what :func:`batch_bounds` would say of it, counted on the way.
+
+    The figures cost no pass of their own: they are there once an action on the
+    returned frame has run.
+    """
+    ts = modified_time(df, modified)
+    seen = Observation(name)
+    return df.observe(seen, F.min(ts).alias("modified_min"), F.max(ts).alias("modified_max"), F.count(F.lit(1)).alias("n_rows")), seen
+
+
 def by_modified(df: DataFrame, modified: str) -> DataFrame:
     """Oldest change first, undated rows last; a range shuffle, only for output order.
 

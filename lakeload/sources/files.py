@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime, timedelta
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeload.functions.times import FRESHNESS_ZONE, zone_text
+from lakeload.operators.conform import source_column
 
 
 def read_landed(
@@ -59,6 +63,65 @@ def last_modified(spark: SparkSession, path: str, zone: str = FRESHNESS_ZONE) ->
         raise
 
 
+def newest_modification(spark: SparkSession, path: str) -> datetime | None:
+    """The newest modification under ``path`` as an instant in UTC, None if nothing is there. Lists files, opens none."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    micros = files.agg(F.unix_micros(F.max("modificationTime"))).first()[0]
+    return None if micros is None else datetime(1970, 1, 1) + timedelta(microseconds=micros)
+
+
+def read_newer(spark: SparkSession, path: str, schema: T.StructType, since: datetime | None, until: datetime | None = None) -> DataFrame:
+    """Rows of the Parquet files under ``path`` modified after ``since`` and up to ``until`` (UTC instants).
+
+    Files are left out when they are listed, by their modification time, so one
+    that is not newer is never opened. Without ``since`` all files are read.
+    """
+    reader = spark.read.schema(schema).option("timeZone", "UTC")
+    if since is not None:
+        reader = reader.option("modifiedAfter", since.isoformat(timespec="microseconds"))
+    if until is not None:  # files that land after the listing belong to the next load
+        reader = reader.option("modifiedBefore", (until + timedelta(milliseconds=1)).isoformat(timespec="microseconds"))
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return no_rows(spark, schema)
+        raise
+
+
+def read_drifted(spark: SparkSession, path: str) -> DataFrame:
+    """All Parquet files under ``path`` although columns came or went between them.
+
+    The schema is the union of the files' columns, read from their footers in
+    tasks; a column that a file lacks is NULL in its rows.
+    """
+    return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+
+
+def drift_by_file(df: DataFrame, declared: Sequence[str], file: Column | None = None) -> DataFrame:
+    """Per file of a scan: declared columns it has no value in, and undeclared ones it has.
+
+    (``file_name``, ``column_name``, ``drift``: ``empty`` or ``undeclared``,
+    ``n_rows``, ``n_values``), from one aggregation by file. A merged scan shows
+    NULL for a column that a file lacks, so an absent column and one without any
+    value are the same here: neither has anything to load.
+    """
+    file = F.col("_metadata.file_name") if file is None else file
+    lacking = [c for c in declared if c not in df.columns]
+    counts = [F.count(source_column(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    per_file = df.groupBy(file.alias("file_name")).agg(F.count(F.lit(1)).alias("n_rows"), *counts)
+    names = {c: F.col(f"n{i}") for i, c in enumerate(df.columns)} | {c: F.lit(0).cast("long") for c in lacking}
+    seen = [F.struct(F.lit(c).alias("column_name"), F.lit(c in declared).alias("known"), n.alias("n_values")) for c, n in names.items()]
+    lines = per_file.select("file_name", "n_rows", F.explode(F.array(*seen)).alias("c")).select("file_name", "c.column_name", "c.known", "n_rows", "c.n_values")
+    lines = lines.where("known = (n_values = 0)")
+    return lines.select("file_name", "column_name", F.when(F.col("known"), "empty").otherwise("undeclared").alias("drift"), "n_rows", "n_values")
+
+
 def write_snapshot(df: DataFrame, path: str) -> None:
     """Replace the file set at ``path``, straight at its final location."""
     df.write.mode("overwrite").parquet(path)

@@ -7,11 +7,13 @@ a batch load, so a batch that is replayed after a failure changes nothing.
 from __future__ import annotations
 
 import threading
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeload.operators.conform import source_column
 from lakeload.plans.load import run_load
 from lakeload.tables import MonthTable
 
@@ -55,3 +57,34 @@ def stream_load(
     query.append(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     started.set()
     return query[0]
+
+
+def distinct_stream(rows: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """A stream of files without the rows landed again, within a bounded state.
+
+    The first row of each key is passed on; its key is remembered until the
+    watermark, the latest event time seen less ``delay``, has passed the row's
+    own event time by ``delay``. Rows older than the watermark are left out and
+    counted (:func:`late_rows`): whether they came before is not known any more.
+    Rows without an event time are left out too.
+    """
+    at = "__event_time"
+    timed = rows.withColumn(at, source_column(event_time).cast("timestamp")).withWatermark(at, delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop(at)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of a finished run that came after the watermark had passed them."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def dedup_stream(
+    spark: SparkSession, source_dir: str, schema: T.StructType, target_dir: str, checkpoint: str, keys: Sequence[str], event_time: str, delay: str
+) -> StreamingQuery:
+    """Append the rows of landed files that no earlier file held to ``target_dir``, then stop.
+
+    State and watermark lie in the checkpoint, so the next run goes on where
+    this one ended.
+    """
+    rows = distinct_stream(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source_dir), keys, event_time, delay)
+    return rows.writeStream.format("parquet").option("path", target_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from lakeload.contracts import TableContract
 from lakeload.functions.times import UNDATED_MONTH, month_bucket, month_number, ntz, to_second
-from lakeload.operators.conform import source_column
 from lakeload.operators.incremental import date_between
 from lakeload.operators.versioned import (
     MONTH,
@@ -148,14 +147,14 @@ class MonthTable:
         self._add_staged()
 
     def landed(self, batch: DataFrame) -> DataFrame:
-        """``batch`` computed once and read back from the table's own folder; the next batch replaces it.
-
-        Columns without a type, which Parquet can't hold, become text.
-        """
+        """``batch`` computed once and read back from the table's own folder, until :meth:`discard_landed`."""
         folder = f"{self.path}/_lakeload/batch"
-        typed = [source_column(f.name).cast("string").alias(f.name) if f.dataType == T.NullType() else source_column(f.name) for f in batch.schema]
-        batch.select(*typed).write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(batch.select(*typed).schema).parquet(folder)
+        batch.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(batch.schema).parquet(folder)
+
+    def discard_landed(self) -> None:
+        """Free what :meth:`landed` wrote."""
+        no_rows(self.spark, self.schema).write.mode("overwrite").parquet(f"{self.path}/_lakeload/batch")
 
     def merge(
         self,
