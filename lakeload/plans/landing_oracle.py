@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeload.plans.oracle import _EVENT_COLUMNS, _ORDER_CHANGES, _ORDER_COLUMNS
+from lakeload.plans.oracle import _EVENT_COLUMNS, _ORDER_CHANGES, _ORDER_COLUMNS, _ORDER_MONTH
 
 _PIECE = "CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 'piece1' WHEN ts < TIMESTAMP '2024-01-20' THEN 'piece2' ELSE 'piece3' END"
 
@@ -57,4 +57,14 @@ ORACLE: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS note,
                'UInt64:,Float64:,String:,String:store''s own,Int32:CAST(1 + 1 AS int),Float64:CAST(0.5 AS double),String:' AS declared
         FROM orders""",
+    "clustered_lookup": """
+        SELECT o_orderkey, o_totalprice, o_orderdate, 'key' AS found_by FROM orders WHERE o_orderkey BETWEEN 300 AND 700
+        UNION ALL SELECT o_orderkey, o_totalprice, o_orderdate, 'price' FROM orders WHERE o_totalprice > 350000""",
+    "bloom_lookup": f"SELECT o_orderkey, o_custkey, o_totalprice, {_ORDER_MONTH} FROM orders WHERE o_orderkey IN (77, -5)",
+    "compact_noted": """
+        WITH n AS (SELECT count(*) AS n FROM events)
+        SELECT event_id, ts, event_type, p_month, n AS n_rewritten, CAST(0 AS BIGINT) AS n_second FROM n, (
+            SELECT event_id, ts - INTERVAL 1 YEAR AS ts, event_type, CAST(year(ts) * 100 + month(ts) - 100 AS INTEGER) AS p_month FROM events
+            UNION ALL
+            SELECT event_id, ts, CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 'again' ELSE event_type END, CAST(year(ts) * 100 + month(ts) AS INTEGER) FROM events)""",
 }

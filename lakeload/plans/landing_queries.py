@@ -14,7 +14,7 @@ from lakeload.operators import incremental, reconcile
 from lakeload.operators.conform import conform
 from lakeload.plans.load import load_files, read_audit
 from lakeload.plans.queries import Query
-from lakeload.plans.samples import EVENTS, FIRST_LOAD, SECOND_LOAD, order_changes, orders_before_2000, table
+from lakeload.plans.samples import EVENTS, FIRST_LOAD, ORDERS, SECOND_LOAD, order_changes, orders_before_2000, stamped, table
 from lakeload.scratch import run_dir
 from lakeload.sources import files
 from lakeload.streaming import stream_load as streams
@@ -180,3 +180,40 @@ def catalog_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = contract_from_table(spark, name, primary_key="o_orderkey")
     declared = ",".join(f"{f.metadata['declared']}:{f.metadata.get('CURRENT_DEFAULT', '')}" for f in contract.schema)
     return spark.table(name).withColumn("declared", F.lit(declared))
+
+
+@query
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key range and a date range, both from files clustered by key and date at once."""
+    orders = table(spark, sf_dir, "orders")
+    path = run_dir(spark, "clustered")
+    files.write_clustered(orders, path, ["o_orderkey", "o_totalprice"], files=16)
+    stored = spark.read.parquet(path)
+    keys = stored.where("o_orderkey BETWEEN 300 AND 700").withColumn("found_by", F.lit("key"))
+    dear = stored.where("o_totalprice > 350000").withColumn("found_by", F.lit("price"))
+    return keys.unionByName(dear).select("o_orderkey", "o_totalprice", "o_orderdate", "found_by")
+
+
+@query
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that is there and one that is not, searched in a table whose files carry Bloom filters."""
+    orders = table(spark, sf_dir, "orders")
+    target = MonthTable(spark, run_dir(spark, "bloom"), ORDERS, bloom_keys=10_000)
+    target.append(stamped(orders, ORDERS, FIRST_LOAD))
+    there, absent = (incremental.point_lookup(target.read(), "o_orderkey", key) for key in (77, -5))
+    return there.unionByName(absent).select("o_orderkey", "o_custkey", "o_totalprice", "p_month")
+
+
+@query
+def compact_noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deferred loads note their months; only those are compacted, and a second compaction finds none."""
+    events = table(spark, sf_dir, "events")
+    target = MonthTable(spark, run_dir(spark, "events"), EVENTS)
+    target.append(stamped(events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 YEAR")), EVENTS, FIRST_LOAD))
+    target.compact()
+    again = events.where(F.col("ts") >= times.ntz("2024-01-20")).withColumn("event_type", F.lit("again"))
+    target.append(stamped(events, EVENTS, FIRST_LOAD))
+    target.append(stamped(again, EVENTS, SECOND_LOAD))
+    n = target.compact()
+    second = target.compact()
+    return target.read().select("event_id", "ts", "event_type", "p_month", F.lit(n).cast("long").alias("n_rewritten"), F.lit(second).cast("long").alias("n_second"))

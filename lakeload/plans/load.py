@@ -180,7 +180,7 @@ def _run(
         if mark is not None:
             marked = mark_synced(ready, contract.synced_column, mark[2], contract.modified_column, mark[0], mark[1])
             ready = marked.select(*contract.schema.names)
-        table.append(ready, whole=True)
+        table.append(ready, whole=True, months=facts["months"])
     else:
         report.rows_in_months = table.merge(ready, mark, facts["months"], by_modification)
     table.discard_landed()

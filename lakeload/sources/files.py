@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from lakeload.functions.times import FRESHNESS_ZONE, zone_text
 from lakeload.operators.conform import source_column
@@ -127,6 +127,50 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def bloom_filtered(writer: DataFrameWriter, column: str, keys: int) -> DataFrameWriter:
+    """A Parquet writer whose files carry Bloom filters of a column, sized for ``keys`` distinct values each."""
+    return writer.option(f"parquet.bloom.filter.enabled#{column}", True).option(f"parquet.bloom.filter.expected.ndv#{column}", keys)
+
+
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 5) -> None:
+    """Files that searches by any of ``columns`` can skip, by Z-order.
+
+    Each column is cut into 2 ** ``bits`` ranges at its approximate quantiles
+    (one pass, that many numbers for the driver), and rows are ranged by the
+    interleaved range numbers, so a file covers a box of all columns instead of
+    a thin slice of the first. Rows of one box are spread by their content, so a
+    value of any weight is split over files; NULLs lie with the least values.
+    Numbers and dates are skipped by statistics; Spark reads no statistics of
+    zone-less timestamps, so cluster by their date or month instead.
+    """
+    ordered = {c: _ordinal(source_column(c), df.schema[c].dataType) for c in columns}
+    cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = df.agg(*(F.percentile_approx(o, cuts, 10_000).alias(f"q{i}") for i, o in enumerate(ordered.values()))).first()
+    curve = F.lit(0).cast("long")
+    for i, o in enumerate(ordered.values()):
+        bounds = sorted(set(found[f"q{i}"] or []))
+        place = F.lit(0)
+        for b in bounds:
+            place = place + F.when(o > F.lit(b), 1).otherwise(0)
+        for bit in range(bits):
+            curve = curve.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(ordered) + i))
+    z, spread = "__z", "__spread"
+    ranged = df.withColumn(z, curve).withColumn(spread, F.xxhash64(*map(source_column, df.columns)))
+    ranged = ranged.repartitionByRange(files, z, spread).sortWithinPartitions(z, *map(source_column, columns)).drop(z, spread)
+    ranged.write.mode("overwrite").parquet(path)
+
+
+def _ordinal(col: Column, kind: T.DataType) -> Column:
+    """A number that sorts like the column's values."""
+    if isinstance(kind, T.NumericType):
+        return col.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.to_timestamp_ltz(col) if isinstance(kind, T.TimestampNTZType) else col).cast("double")
+    raise ValueError(f"no order by number for {kind.simpleString()}")
+
+
 def append_parquet(df: DataFrame, path: str) -> None:
     """Add rows to the file set at ``path``, which must have the same columns and types.
 

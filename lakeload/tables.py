@@ -18,7 +18,7 @@ from datetime import date, datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T
 
 from lakeload.contracts import TableContract
 from lakeload.functions.times import UNDATED_MONTH, month_bucket, month_number, ntz, to_second
@@ -34,9 +34,10 @@ from lakeload.operators.versioned import (
     upsert,
     with_month,
 )
-from lakeload.sources.files import no_rows, path_exists, read_or_empty, require_same_columns
+from lakeload.sources.files import bloom_filtered, no_rows, path_exists, read_or_empty, require_same_columns
 
 _PARALLEL_WRITES = 8
+_MONTHS = T.StructType([T.StructField(MONTH, T.IntegerType())])
 _NOTE = T.StructType(
     [
         T.StructField("action", T.StringType()),
@@ -52,10 +53,14 @@ class MonthTable:
     ``months_at_once`` bounds how many months a compaction, delete or mark
     rewrites, hence stages, in one go; each portion is complete in itself, so
     an interrupted change is continued by repeating it.
+
+    With ``bloom_keys``, the distinct keys expected in a file, every file carries
+    Bloom filters of the primary key: a search for a key then skips files whose
+    key range holds it but whose rows do not.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, contract: TableContract, months_at_once: int | None = None
+        self, spark: SparkSession, path: str, contract: TableContract, months_at_once: int | None = None, bloom_keys: int | None = None
     ) -> None:
         if contract.date_column is None:
             raise ValueError(f"{contract.name}: a month table needs a date column")
@@ -63,10 +68,12 @@ class MonthTable:
         self.path = path.rstrip("/")
         self.contract = contract
         self.months_at_once = months_at_once
+        self.bloom_keys = bloom_keys
         plain = [T.StructField(f.name, f.dataType, True) for f in contract.schema]
         self.schema = T.StructType(plain)
         self._stored = T.StructType([*plain, T.StructField(MONTH, T.IntegerType(), True)])
         self._staging, self._note = f"{self.path}/_lakeload/rows", f"{self.path}/_lakeload/note"
+        self._uncompacted = f"{self.path}/_lakeload/uncompacted"
 
     def read(self, months: Iterable[int] | None = None) -> DataFrame:
         """Rows with their month column, optionally of some months only.
@@ -127,22 +134,33 @@ class MonthTable:
         row = self.read().agg(*picks).first()
         return row["w0"], row["w1"]
 
-    def append(self, df: DataFrame, whole: bool = False) -> None:
+    def append(self, df: DataFrame, whole: bool = False, months: Iterable[int] | None = None) -> None:
         """Add conformed rows as they are; older versions stay until compaction.
 
         Costs a write of the batch alone. Until :meth:`compact` has run, read
         the table with :meth:`current`. If the driver dies, part of the rows
         may have been added, unless ``whole``: then the next change adds all of
         them, which rows carrying a sync mark need. Rows added twice are
-        versions of one record.
+        versions of one record. The months touched, ``months`` if already known,
+        are noted for the compaction.
         """
         require_same_columns(df.schema, self.schema)
         self.recover()
         rows = self._shaped(with_month(df, self.contract.date_column))
+        seen = None
+        if months is None:  # observed on the way
+            seen = Observation("months")
+            rows = rows.observe(seen, F.collect_set(MONTH).alias("months"))
+        else:
+            self._note_uncompacted(months)
         if not whole:
-            rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
+            self._writer(rows, "append").parquet(self.path)
+            if seen is not None:
+                self._note_uncompacted(seen.get["months"])
             return
-        rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
+        self._writer(rows, "overwrite").parquet(self._staging)
+        if seen is not None:
+            self._note_uncompacted(seen.get["months"])
         self._intend("append", [(UNDATED_MONTH, 0)])
         self._add_staged()
 
@@ -221,22 +239,49 @@ class MonthTable:
         known = known.select(key, MONTH).join(batch.select(key), key, "left_semi")
         return [r[0] for r in known.select(MONTH).distinct().collect()]
 
-    def compact(self, months: Iterable[int] | None = None) -> int:
+    def compact(self, months: Iterable[int] | None = None, repair: bool = False) -> int:
         """Keep only the newest version of each record.
 
-        By default in the months that hold several versions of some record,
-        found from the key columns alone; ``months`` forces certain ones.
+        By default in those months that hold several versions of some record, of
+        the months that appends have touched since the last compaction; these
+        were noted, so no key of another month is read (under primary-key scope,
+        of months outside the noted ones' key range). ``repair`` looks at the
+        keys of the whole table instead, as after an append whose driver died
+        before its note. ``months`` forces certain ones.
         """
         alone = self.contract.scope == "sort_key"
         if months is not None and not alone:
             raise ValueError("one row per primary key concerns all months")
         self.recover()
-        touched = self._months_with_versions() if months is None else months
+        if months is None:
+            noted = None
+            if not repair:
+                noted = set(self._noted())
+                if noted and not alone:
+                    noted.update(self._months_of_records(self._read(noted)))
+            touched = set(self._months_with_versions(noted))
+        else:
+            touched = set(months)
         # versions of one record may lie in several months: those go together
-        return self._rewrite(touched, lambda df: latest_by_contract(df, self.contract), split=alone)
-
-    def _months_with_versions(self) -> list[int]:
-        per_key = self.read().groupBy(*self.contract.key)
+        rows = self._rewrite(touched, lambda df: latest_by_contract(df, self.contract), split=alone)
+        left = set() if months is None else set(self._noted()) - touched
+        no_rows(self.spark, _MONTHS).write.mode("overwrite").parquet(self._uncompacted)
+        self._note_uncompacted(left)
+        return rows
+
+    def _noted(self) -> list[int]:
+        """Months that appends touched and no compaction has rewritten yet."""
+        return [r[0] for r in read_or_empty(self.spark, self._uncompacted, _MONTHS).distinct().collect()]
+
+    def _note_uncompacted(self, months: Iterable[int]) -> None:
+        new = sorted(set(months) - set(self._noted()))
+        if new:
+            rows = self.spark.range(1).select(F.explode(F.array(*(F.lit(m).cast("int") for m in new))).alias(MONTH))
+            rows.write.mode("append").parquet(self._uncompacted)
+
+    def _months_with_versions(self, months: Iterable[int] | None = None) -> list[int]:
+        """Months, of some or of all, that hold several versions of some record, from the key columns alone."""
+        per_key = self.read(months).groupBy(*self.contract.key)
         if self.contract.scope == "sort_key":
             repeated = per_key.agg(F.count(F.lit(1)).alias("n"), F.max(MONTH).alias(MONTH)).where("n > 1")
         else:
@@ -290,10 +335,10 @@ class MonthTable:
         if not self._has_files(months):
             # nothing to lose, so no detour; interrupted, the months are emptied again
             self._intend("replace", [(m, 0) for m in sorted(months)])
-            rows.write.mode("append").partitionBy(MONTH).parquet(self.path)
+            self._writer(rows, "append").parquet(self.path)
             self._settle()
             return self._read(months).count()
-        rows.write.mode("overwrite").partitionBy(MONTH).parquet(self._staging)
+        self._writer(rows, "overwrite").parquet(self._staging)
         filled = {r[0]: r[1] for r in self._staged().groupBy(MONTH).count().collect()}
         if not set(filled) <= months:
             raise ValueError(f"rows belong to months {sorted(set(filled) - months)}, which are not being replaced")
@@ -327,7 +372,7 @@ class MonthTable:
         no_rows(self.spark, _NOTE).write.mode("overwrite").parquet(self._note)
 
     def _add_staged(self) -> None:
-        self._staged().write.mode("append").partitionBy(MONTH).parquet(self.path)
+        self._writer(self._staged(), "append").parquet(self.path)
         self._settle()
         self._discard_staged()
 
@@ -335,8 +380,7 @@ class MonthTable:
         """Put the staged months in place; doing it twice gives the same table."""
         if any(n for _, n in note):
             # every staged file lies in one month, so this copy needs no shuffle
-            writer = self._staged().write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(MONTH).parquet(self.path)
+            self._writer(self._staged(), "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path)
         # an overwrite by month leaves months without new rows as they were
         emptied = [f"{self.path}/{MONTH}={month}" for month, n in note if n == 0]
         nothing = no_rows(self.spark, self.schema)
@@ -351,6 +395,12 @@ class MonthTable:
     def _staged(self) -> DataFrame:
         return read_or_empty(self.spark, self._staging, self._stored)
 
+    def _writer(self, rows: DataFrame, mode: str) -> DataFrameWriter:
+        writer = rows.write.mode(mode).partitionBy(MONTH)
+        if self.bloom_keys is not None:
+            writer = bloom_filtered(writer, self.contract.primary_key, self.bloom_keys)
+        return writer
+
     def _shaped(self, df: DataFrame) -> DataFrame:
         """Well-sized files: small months in one, a large month in several, sorted by key.
 

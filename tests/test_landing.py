@@ -250,3 +250,73 @@ def test_workers_find_the_package_from_any_folder(tmp_path):
     print(entry.queries()[name](spark, "{DATA}/sf0.001").count())
     """
     assert int(entry_in(tmp_path, os.path.dirname(os.path.abspath(driver.__file__)), code).split()[-1]) == 200
+
+
+def scanned_rows(df):
+    """Rows that the scans of a plan hand on: what file and row-group statistics have not skipped."""
+    df._jdf.queryExecution().executedPlan()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    total, open_ = 0, [plan]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if "Scan" in node.nodeName():
+            total += node.metrics().apply("numOutputRows").value()
+        open_ += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_clustered_files_serve_both_columns(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("id AS k", "date'2024-01-01' + cast(pmod(xxhash64(id), 1000) AS int) AS day", "concat('v', id) AS v")
+    clustered, sliced = str(tmp_path / "z"), str(tmp_path / "k")
+    files.write_clustered(rows, clustered, ["k", "day"], files=16)
+    rows.repartitionByRange(16, "k").sortWithinPartitions("k").write.parquet(sliced)
+    assert sorted(spark.read.parquet(clustered).collect()) == sorted(rows.collect())
+    by_key, by_day = "k BETWEEN 1000 AND 1200", "day > date'2026-09-01'"
+    read = {(name, where): scanned_rows(spark.read.parquet(path).where(where)) for name, path in (("z", clustered), ("k", sliced)) for where in (by_key, by_day)}
+    # one sort serves its own column only, the curve serves both
+    assert read["z", by_key] <= 16_000 and read["z", by_day] <= 16_000
+    assert read["k", by_day] == 40_000
+
+
+def test_a_clustered_write_splits_a_common_value(spark, tmp_path):
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, NULL, id % 2) AS a", "if(id < 6000, 5, id) AS b", "id AS v")
+    files.write_clustered(rows, str(tmp_path / "z"), ["a", "b"], files=9)
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "z")).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2500
+    files.write_clustered(rows.limit(0), str(tmp_path / "none"), ["a", "b"], files=4)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        files.write_clustered(spark.sql("SELECT 'x' AS s"), str(tmp_path / "text"), ["s"], files=1)
+
+
+def test_a_key_that_is_not_there_reads_no_rows(spark, tmp_path):
+    even = events(spark, 0, 5000).withColumn("event_id", F.col("event_id") * 2)
+    stamps = even.select("*", F.lit(None).cast("timestamp_ntz").alias("last_synced_at"), F.lit(str(FIRST_LOAD)).cast("timestamp_ntz").alias("updated_at"))
+    stamps = stamps.select(*(F.col(f.name).cast(f.dataType) for f in EVENTS.schema))
+    read = {}
+    for bloom in (None, 5000):
+        table = MonthTable(spark, str(tmp_path / f"t{bloom}"), EVENTS, bloom_keys=bloom)
+        table.append(stamps)
+        table.mark(SECOND_LOAD)  # rewritten months keep their filters
+        read[bloom] = [scanned_rows(table.read().where(F.col("event_id") == key)) for key in (4001, 4000)]
+    assert read[None][0] > 0 and read[5000][0] == 0 and read[5000][1] > 0
+
+
+def test_compaction_reads_noted_months_only(spark, tmp_path):
+    table = MonthTable(spark, str(tmp_path / "t"), EVENTS)
+    old = events(spark, 0, 50)
+    rows = old.select("*", F.lit(None).cast("timestamp_ntz").alias("last_synced_at"), F.lit(str(FIRST_LOAD)).cast("timestamp_ntz").alias("updated_at"))
+    table.append(rows.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 YEAR")))
+    assert table.compact() == 0
+    for path in glob.glob(f"{table.path}/p_month=2023*/*.parquet"):  # whoever reads that year fails
+        with open(path, "wb") as file:
+            file.write(b"garbage")
+    table.append(rows)
+    table.append(rows.withColumn("updated_at", F.lit(str(SECOND_LOAD)).cast("timestamp_ntz")))
+    assert table.compact() == 50 and table.compact() == 0
+    assert table.read([202401]).count() == 50
+    with pytest.raises(Exception):
+        table.compact(repair=True)
