@@ -1,12 +1,14 @@
 """Exact nearest binary codes by multi-index hashing with growing radii.
 
 Codes are cut into segments, and every distinct code is filed under the value
-of each segment. If two codes differ in at most m * (r + 1) - 1 bits, one of
-their m segments differs in at most r. So radius after radius, every query
-looks up the segment values at exactly that distance from its own, the codes
-found are verified on all bits, and the query is done once its kth best
-distance is covered by the radius. Queries with equal codes are one search,
-and rows with equal codes are one entry with their k smallest ids.
+of each segment. A code that was not met although j of m segments were searched
+up to radius r and the others up to r - 1 differs in at least m * r + j bits.
+So radius after radius every query looks up the segment values at exactly that
+distance from its own, in no more segments than it takes to cover the kth best
+distance it has found; the codes met are compared on all bits within the join,
+against that distance; and the query is done once it is covered.
+Queries with equal codes are one search, and rows with equal codes are one entry
+with their k smallest ids, which are only expanded for the codes that remain.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ def top_k(rows: DataFrame, queries: DataFrame, dims: int, k: int = 10, id_col: s
 
     Ties go to the smaller id; a query that is a row itself finds itself. Fewer
     rows than ``k`` give fewer results. Rows with a null id are left out; a null
-    embedding has a code of zeros. Rows that repeat an id count once per code.
+    embedding has a code of zeros, and NaN counts as above zero. Rows that repeat an id count once per code.
     Segments are about as long as the number of distinct codes is in bits, up
     to 32, which keeps the entries per value few at any size.
     """
@@ -70,44 +72,50 @@ def top_k(rows: DataFrame, queries: DataFrame, dims: int, k: int = 10, id_col: s
     asked = settled(asked)
     nth = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     entries = settled(coded.withColumn("nth", nth).where(F.col("nth") <= k).select("code", "id"))
-    codes = entries.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # k ids at most
+    codes = settled(entries.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))  # k ids at most
     n_codes = codes.count()
     if n_codes == 0:
         return asked.select("query_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0).alias("distance")).limit(0)
     width = segment_bits or max(4, min(_WORD_BITS, dims, math.ceil(math.log2(n_codes + 1))))
     count = max(1, dims // width)
     bounds = [dims * i // count for i in range(count + 1)]
-    filed = codes.select(
-        "code", "ids", F.explode(F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("code"), bounds[i], bounds[i + 1]).alias("value")) for i in range(count)])).alias("at")
-    )
-    filed = settled(filed.select("at.segment", "at.value", "code", "ids"))
-    # lookups of the radius reached: the value and the highest bit changed so far, as further bits are changed upwards
-    shell = asked.select("q_code").distinct().select(
-        "q_code",
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("q_code"), bounds[i], bounds[i + 1]).alias("value"), F.lit(-1).alias("bit"), F.lit(bounds[i + 1] - bounds[i]).alias("size")) for i in range(count)])
-        ).alias("at"),
-    ).select("q_code", "at.*")
+    segments = F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("code"), bounds[i], bounds[i + 1]).alias("value")) for i in range(count)])
+    filed = codes.select("code", F.col("ids")[0].alias("first"), F.size("ids").alias("n"), F.explode(segments).alias("at"))
+    filed = settled(filed.select("at.segment", "at.value", "code", "first", "n"))
+    # values looked up in each segment at the present radius, as far as the query's kth distance needs them;
+    # how far bits are changed is kept, as further ones are changed upwards
+    starts = F.array(*[F.struct(F.lit(i).alias("segment"), _segment(F.col("q_code"), bounds[i], bounds[i + 1]).alias("value"), F.lit(bounds[i + 1] - bounds[i]).alias("size")) for i in range(count)])
+    shell = asked.select("q_code").distinct().select("q_code", F.explode(starts).alias("at")).select("q_code", "at.*", F.lit(-1).alias("bit"), F.lit(dims).alias("limit"))
     shell = settled(shell)
     best = None
     for radius in range(max(bounds[i + 1] - bounds[i] for i in range(count)) + 1):
-        met = shell.select("q_code", "segment", "value").join(filed, ["segment", "value"])
-        # a pair that meets in several segments is one
-        met = met.groupBy("q_code", "code").agg(F.first("ids").alias("ids"))
-        met = met.select("q_code", distance(F.col("q_code"), F.col("code"), words).alias("distance"), F.explode("ids").alias("id"))
-        if best is not None:
-            met = met.unionByName(best).distinct()
-        rank = F.row_number().over(Window.partitionBy("q_code").orderBy("distance", "id"))
-        best = settled(met.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"))
+        near = distance(F.col("q_code"), F.col("code"), words)
+        here = (shell["segment"] == filed["segment"]) & (shell["value"] == filed["value"]) & (near <= F.col("limit"))
+        met = shell.join(filed, here).select("q_code", "code", near.alias("distance"), "first", "n")
+        # a pair that meets in several segments or radii is one
+        best = settled(_nearest((met if best is None else met.unionByName(best)).distinct(), k))
+        kth = best.groupBy("q_code").agg(F.when(F.sum("n") >= k, F.max("distance")).alias("kth"))
+        # all segments up to this radius are done; of the next, j more cover j more bits
         covered = count * (radius + 1) - 1
-        done = best.groupBy("q_code").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth")).where((F.col("n") >= k) & (F.col("kth") <= covered))
-        shell = shell.join(done.select("q_code"), "q_code", "left_anti").where(F.col("bit") < F.col("size") - 1)
-        bit = F.explode(F.sequence(F.col("bit") + 1, F.col("size") - 1))
-        shell = shell.withColumn("next", bit).select(
-            "q_code", "segment", F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("next"))).alias("value"), F.col("next").alias("bit"), "size"
-        )
-        shell = settled(shell)
+        shell = shell.join(kth, "q_code", "left").withColumn("limit", F.coalesce("kth", F.lit(dims)))
+        shell = settled(_next_shell(shell.where(F.col("segment") < F.col("limit") - covered)))
         if shell.isEmpty():
             break
+    ids = best.join(codes, "code").select("q_code", "distance", F.explode("ids").alias("id"))
     rank = F.row_number().over(Window.partitionBy("q_code").orderBy("distance", "id"))
-    return asked.join(best.withColumn("rank", rank), "q_code").select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+    return asked.join(ids.withColumn("rank", rank).where(F.col("rank") <= k), "q_code").select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+def _next_shell(shell: DataFrame) -> DataFrame:
+    """The values one more changed bit away, each reached once: bits are changed upwards."""
+    higher = shell.where(F.col("bit") < F.col("size") - 1).withColumn("next", F.explode(F.sequence(F.col("bit") + 1, F.col("size") - 1)))
+    flipped = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("next")))
+    return higher.select("q_code", "segment", flipped.alias("value"), "size", F.col("next").alias("bit"), "limit")
+
+
+def _nearest(met: DataFrame, k: int) -> DataFrame:
+    """Of each query the nearest codes whose rows come to ``k`` or more, ``k`` codes at most; ties by least id."""
+    order = Window.partitionBy("q_code").orderBy("distance", "first", "code")
+    ranked = met.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranked.withColumn("before", before).where(F.col("before") < k).drop("nth", "before")

@@ -18,6 +18,12 @@ copies as integers fall into its stretch of cumulated rates. Neighbours on the
 line have like sizes, so the words taken stay close to the words expected. The
 line is cut into segments, whose number follows the rows, summed separately and
 chained by their totals, so no window holds a whole source.
+
+What whole copies still miss of a target is closed by moving single copies: from
+the counts of movable copies per size, the largest sizes that fit the gap are
+taken first, and the last step may go beyond if that leaves less. How many of a
+size move is dealt to the segments by their counts. All of this is found on rows
+of id, source and size; texts that are carried along are shuffled once, at the end.
 """
 
 from __future__ import annotations
@@ -118,43 +124,111 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     source of its own, the last. Documents of one source, size and id that tie
     on the line are interchangeable.
     """
-    row = F.struct(*[column(c) for c in docs.columns]) if carry else F.struct(F.lit(0).alias("_"))
-    keyed = docs.select(
-        column(id_col).cast("long").alias("id"), column(source_col).cast("string").alias("source"), word_count(column(text_col)).alias("size"), row.alias("_row")
-    )
-    if not carry:
-        keyed = settled(keyed)  # the texts are read once
-    slim = settled(keyed.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
-    spread = slim.select("source", (F.col("size") * F.col("n")).alias("size"))
+    keyed = docs.select(column(id_col).cast("long").alias("id"), column(source_col).cast("string").alias("source"), word_count(column(text_col)).alias("size"))
+    slim = settled(keyed)  # the texts are read once for their sizes
+    counted = settled(slim.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    spread = counted.select("source", (F.col("size") * F.col("n")).alias("size"))
     targets = settled(source_targets(spread, weights, share, float(most)))
-    solved = solve_multipliers(slim, targets, float(most))
-    facts = settled(targets.join(solved.withColumnRenamed("source", "s"), F.expr("source <=> s"), "left").drop("s"))
-    facts = facts.select(F.col("source").alias("s"), "source_size", "target", "mean", "multiplier")
-
-    rated = keyed.join(facts, F.expr("source <=> s")).drop("s")
-    rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(
-        F.coalesce(_rate(F.col("multiplier"), F.col("size") / F.col("mean"), float(most)), F.lit(float(most)))
-    )
-    line = F.when(F.col("size") > 0, F.floor(F.log2(F.greatest(F.col("size"), F.lit(1))) * 4)).otherwise(-1).cast("int")
-    rated = rated.withColumn("rate", rate).withColumn("line", line)
-    parts = max(_SEGMENTS, (slim.agg(F.sum("n")).first()[0] or 0) // _SEGMENT_ROWS)
-    rated = rated.withColumn("segment", F.pmod(F.xxhash64("id", "size"), F.lit(parts)).cast("int"))
+    solved = solve_multipliers(counted, targets, float(most))
+    facts = targets.join(solved.withColumnRenamed("source", "s"), F.expr("source <=> s"), "left").drop("s")
+    facts = settled(facts.select(_key("source"), "source_size", "target", "mean", "multiplier"))
+    parts = max(_SEGMENTS, (counted.agg(F.sum("n")).first()[0] or 0) // _SEGMENT_ROWS)
+
+    def rated(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("key", _key("source")).drop("source").join(facts, "key")
+        rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(
+            F.coalesce(_rate(F.col("multiplier"), F.col("size") / F.col("mean"), float(most)), F.lit(float(most)))
+        )
+        line = F.when(F.col("size") > 0, F.floor(F.log2(F.greatest(F.col("size"), F.lit(1))) * 4)).otherwise(-1).cast("int")
+        segment = F.pmod(F.xxhash64("id", "size"), F.lit(parts)).cast("int")
+        return rows.withColumn("rate", rate).withColumn("line", line).withColumn("segment", segment)
+
     # totals of the segments put each behind the ones before it on its source's line
-    segments = rated.groupBy("source", "line", "segment").agg(F.sum("rate").alias("segment_rate"))
-    chain = Window.partitionBy("source").orderBy("line", "segment").rowsBetween(Window.unboundedPreceding, -1)
-    segments = segments.select(
-        F.col("source").alias("s"), F.col("line").alias("l"), F.col("segment").alias("g"), F.coalesce(F.sum("segment_rate").over(chain), F.lit(0.0)).alias("before")
-    )
-    placed = rated.join(segments, F.expr("source <=> s AND line = l AND segment = g")).drop("s", "l", "g")
-    own = Window.partitionBy("source", "line", "segment").orderBy("size", "id").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("before") + F.sum("rate").over(own)
-    placed = placed.withColumn("end", end)
+    cells = rated(slim).groupBy(*_CELL).agg(F.sum("rate").alias("cell_rate"))
+    chain = Window.partitionBy("key").orderBy("line", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    cells = settled(cells.select(*_CELL, F.coalesce(F.sum("cell_rate").over(chain), F.lit(0.0)).alias("before")))
+    first = settled(_rounded(rated(slim), cells, most).select("key", "size", "line", "segment", "copies"))
+    moved = _quotas(first, _moves(first, facts.select("key", "target"), most), most)
+    cells = settled(cells.join(moved, list(_CELL), "left"))
+
+    if carry:
+        slim = docs.select(
+            column(id_col).cast("long").alias("id"), column(source_col).cast("string").alias("source"), word_count(column(text_col)).alias("size"),
+            F.struct(*[column(c) for c in docs.columns]).alias("_row"),
+        )
+    placed = _rounded(rated(slim), cells, most)
+    quota = F.coalesce(F.element_at("quotas", F.col("size")), F.lit(0))
+    placed = placed.withColumn("free", _movable(quota, most))
+    earlier = Window.partitionBy(*_CELL, "size").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    step = F.least(F.col("free"), F.greatest(F.abs(quota) - F.coalesce(F.sum("free").over(earlier), F.lit(0)), F.lit(0)))
+    placed = placed.withColumn("copies", (F.col("copies") + step * F.signum(quota)).cast("int"))
+    columns = [F.col("id").alias(id_col), "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")]
+    return placed.select(*columns, *(["_row"] if carry else []))
+
+
+_CELL = ("key", "line", "segment")
+
+
+def _key(source: str) -> Column:
+    """A source as text that is never null, so that plain joins and shuffles by it agree."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key")
+
+
+def _rounded(rated: DataFrame, cells: DataFrame, most: int) -> DataFrame:
+    """Rows with their whole ``copies``: the integers in their stretch of the line. One shuffle by cell."""
+    own = Window.partitionBy(*_CELL).orderBy("size", "id").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rated.join(cells, list(_CELL)).withColumn("end", F.col("before") + F.sum("rate").over(own))
     # a rate of a whole number always gives that many copies
     whole = F.col("rate") == F.floor("rate")
     copies = F.when(whole, F.col("rate")).otherwise(F.floor(F.col("end") + 0.5) - F.floor(F.col("end") - F.col("rate") + 0.5))
-    placed = placed.withColumn("copies", F.least(F.lit(most), F.greatest(F.lit(0), copies.cast("int"))).cast("int"))
-    columns = [F.col("id").alias(id_col), "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")]
-    return placed.select(*columns, *(["_row"] if carry else []))
+    return placed.withColumn("copies", F.least(F.lit(most), F.greatest(F.lit(0), copies.cast("int"))).cast("int"))
+
+
+def _movable(change: Column, most: int) -> Column:
+    """The copies that a document can gain, or lose if ``change`` is negative."""
+    return F.when((F.col("size") > 0) & (change > 0), F.lit(most) - F.col("copies")).when((F.col("size") > 0) & (change < 0), F.col("copies")).otherwise(0)
+
+
+def _moves(placed: DataFrame, targets: DataFrame, most: int) -> DataFrame:
+    """(``key``, ``size``, ``n``): how many copies of documents of a size are added (or taken, if negative) to meet the target.
+
+    Afterwards a source misses its target by at most half of the smallest size
+    that could still be moved that way. Works on the distinct sizes of a source, of those
+    no larger than its gap and the next one.
+    """
+    words = placed.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("words"))
+    gaps = targets.join(words, "key").select("key", (F.col("target") - F.col("words")).alias("gap")).where("abs(gap) > 0.5")
+    free = placed.join(gaps, "key").withColumn("free", _movable(F.col("gap"), most)).where("free > 0")
+    free = free.groupBy("key", "gap", "size").agg(F.sum("free").cast("long").alias("n"))
+    beyond = F.min(F.when(F.col("size") > F.abs("gap"), F.col("size"))).over(Window.partitionBy("key"))
+    free = free.withColumn("beyond", beyond).where("size <= abs(gap) OR size = beyond")
+    by_source = free.groupBy("key", "gap").agg(F.sort_array(F.collect_list(F.struct("size", "n")), asc=False).alias("sizes"))
+    kind = "struct<left:double,moves:array<struct<size:bigint,n:bigint>>>"
+
+    def step(acc: Column, x: Column) -> Column:
+        n = F.least(x["n"], F.floor(acc["left"] / x["size"]).cast("long"))
+        taken = F.when(n > 0, F.array(F.struct(x["size"].alias("size"), n.alias("n")))).otherwise(F.array().cast("array<struct<size:bigint,n:bigint>>"))
+        return F.struct((acc["left"] - n * x["size"]).alias("left"), F.concat(acc["moves"], taken).alias("moves")).cast(kind)
+
+    start = F.struct(F.abs("gap").alias("left"), F.array().alias("moves")).cast(kind)
+    found = by_source.withColumn("done", F.aggregate("sizes", start, step))
+    # the smallest size of which some are left, if one more of it comes nearer
+    left = F.filter("sizes", lambda x: ~F.exists("done.moves", lambda m: (m["size"] == x["size"]) & (m["n"] == x["n"])))
+    found = found.withColumn("next", F.try_element_at(F.transform(left, lambda x: x["size"]), F.lit(-1)))
+    one = F.when(F.col("done.left") > F.col("next") / 2, F.array(F.struct(F.col("next").alias("size"), F.lit(1).cast("long").alias("n"))))
+    moves = F.concat("done.moves", F.coalesce(one, F.array().cast("array<struct<size:bigint,n:bigint>>")))
+    found = found.select("key", F.signum("gap").alias("sign"), F.explode(moves).alias("m"))
+    return found.groupBy("key", F.col("m.size").alias("size")).agg((F.sum("m.n") * F.first("sign")).cast("long").alias("n"))
+
+
+def _quotas(placed: DataFrame, moves: DataFrame, most: int) -> DataFrame:
+    """(cell, ``quotas``): by size, how many copies move in the cell; earlier segments fill up first."""
+    counts = placed.join(moves, ["key", "size"]).withColumn("free", _movable(F.col("n"), most)).where("free > 0")
+    counts = counts.groupBy(*_CELL, "size", "n").agg(F.sum("free").alias("free"))
+    before = F.coalesce(F.sum("free").over(Window.partitionBy("key", "size").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    quota = F.least(F.col("free"), F.greatest(F.abs("n") - before, F.lit(0))) * F.signum("n")
+    counts = counts.withColumn("quota", quota.cast("long")).where("quota <> 0")
+    return counts.groupBy(*_CELL).agg(F.map_from_entries(F.collect_list(F.struct("size", "quota"))).alias("quotas"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

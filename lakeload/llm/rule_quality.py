@@ -68,26 +68,38 @@ def counts_of_most(words: list[bytes], distinct: int) -> int:
     return max(found.values())
 
 
+_ROWS_AT_ONCE = 512
+
+
 def with_statistics(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
-    """(``id``, one double per statistic) and, if asked for, all columns of ``docs`` in a struct ``_row``."""
+    """(``id``, one double per statistic) and, if asked for, all columns of ``docs`` in a struct ``_row``.
+
+    The text passes through the tasks once, whether it is carried or not.
+    """
     fields = ["id long", *(f"{s} double" for s in STATISTICS)]
     names = ["id", *STATISTICS]
-    plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("binary").alias("_text"))
+    plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("_text"))
     if carry:
-        row = F.struct(*[column(c) for c in docs.columns])
-        plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("binary").alias("_text"), row.alias("_row"))
-        fields.append(f"_row {plain.schema['_row'].dataType.simpleString()}")
+        rest = F.struct(F.lit(0).alias("__none"), *[column(c) for c in docs.columns if c != text_col])
+        plain = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("_text"), rest.alias("_rest"))
+        fields += ["_text string", f"_rest {plain.schema['_rest'].dataType.simpleString()}"]
+        names += ["_text", "_rest"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            with no_cycle_search():
-                found = np.array([statistics(t) for t in batch["_text"].to_pylist()], np.float64).reshape(-1, len(STATISTICS))
-            arrays = [batch["id"], *(pa.array(found[:, i]) for i in range(len(STATISTICS)))]
-            yield pa.RecordBatch.from_arrays(arrays + ([batch["_row"]] if carry else []), names=names + (["_row"] if carry else []))
+            for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                part = batch.slice(start, _ROWS_AT_ONCE)
+                with no_cycle_search():
+                    found = np.array([statistics(t) for t in part["_text"].cast(pa.binary()).to_pylist()], np.float64).reshape(-1, len(STATISTICS))
+                arrays = [part["id"], *(pa.array(found[:, i]) for i in range(len(STATISTICS)))]
+                yield pa.RecordBatch.from_arrays(arrays + ([part["_text"], part["_rest"]] if carry else []), names=names)
         give_back()
 
-
-    return plain.mapInArrow(rows, ", ".join(fields))
+    found = plain.mapInArrow(rows, ", ".join(fields))
+    if not carry:
+        return found
+    whole = [F.col("_text").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("_rest").getField(c).alias(c) for c in docs.columns]
+    return found.withColumn("_row", F.struct(*whole)).drop("_text", "_rest")
 
 
 @dataclass(frozen=True)

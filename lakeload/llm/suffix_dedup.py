@@ -482,7 +482,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 50,
-    chunk_bytes: int = 8 << 20,
+    chunk_bytes: int = 4 << 20,
     bucket_bytes: int = 512 << 10,
     shard_bytes: int = 64 << 10,
     with_text: bool = True,
