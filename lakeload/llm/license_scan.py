@@ -1,24 +1,28 @@
 """License notices found by patience alignment with known texts.
 
-A text is looked at in windows of words, one from every word of the license text
-on and twice as long as that text, so what is found does not depend on where in
-the text a notice stands. A window is aligned with a license text: words that
-occur once in both are anchors, the longest increasing sequence of anchors is
-kept, and the gaps between neighbouring anchors are aligned in the same way; a
-gap without such words is aligned by the longest common subsequence. The share
-of the license text's words that are aligned is its coverage. From the first
-aligned word on, the window is lengthened as long as that aligns more words.
-Windows that lack too many of the license text's words to reach the coverage
-asked for are not aligned. Of overlapping places those are kept that together
-align most words. A notice is found if the words to reach the coverage lie
-within one window.
+A window of words is aligned with a license text: words that occur once in both
+are anchors, the longest increasing sequence of anchors is kept, and the gaps
+between neighbouring anchors are aligned in the same way; a gap without such
+words is aligned by the longest common subsequence. The share of the license
+text's words that are aligned is its coverage.
+
+Windows start at places of license words and are as long as the license text, a
+quarter longer, and a little over twice as long, to bridge inserted words; those
+that lack too many of its words to reach the coverage asked for are not aligned.
+A window without a notice is followed by one an eighth of the license text later,
+which the longest window allows for: every notice that lies within twice the
+length of its license text is whole in a window, wherever it stands. Of each
+alignment the part is taken that has most aligned less other words, and aligned
+again from where its first and its last word put the license text. Places are
+taken from left to right, the next window starts behind the last place, so the
+alignments grow with the words.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -135,22 +139,26 @@ def _increasing(values: list[int]) -> list[int]:
 
 
 def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """A longest common subsequence of two short lists, as index pairs."""
-    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        row, below = table[i], table[i + 1]
-        for j in range(len(b) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif table[i + 1][j] >= table[i][j + 1]:
-            i += 1
+    """A longest common subsequence of two lists, as index pairs; a row of lengths is the bits of one integer."""
+    at: dict[str, int] = {}
+    for j, word in enumerate(b):
+        at[word] = at.get(word, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    rows = [full]  # a bit is 0 where the length grows by one
+    for word in a:
+        last = rows[-1]
+        same = last & at.get(word, 0)
+        rows.append((last + same | last - same) & full)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i] >> j - 1 & 1:
+            j -= 1
+        elif not rows[i - 1] >> j - 1 & 1:
+            i -= 1
         else:
-            j += 1
-    return out
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
 
 
 def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
@@ -197,46 +205,63 @@ def _bags(words: list[str], at: list[int], wanted: Counter, width: int) -> list[
     return out
 
 
-def _aligned(words: list[str], start: int, end: int, pattern: list[str]) -> tuple[int, int, int]:
-    """Words aligned, first and behind last word, of the place in a window."""
-    best = (0, start, start)
-    while True:
-        pairs = align(words[start:end], pattern)
-        if len(pairs) <= best[0]:
-            return best
-        best = (len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1)
-        start, longer = best[1], min(len(words), max(best[1] + 2 * len(pattern), best[2] + len(pattern)))
-        if longer <= end or len(pairs) == len(pattern):
-            return best
-        end = longer
+def _densest(pairs: list[tuple[int, int]], need: int) -> tuple[int, int, int]:
+    """Score, first and last index of the neighbouring pairs, at least ``need``, that have most aligned less other words."""
+    best, lead = None, None
+    for last in range(need - 1, len(pairs)):
+        first = last - need + 1
+        lead = max(lead or (pairs[first][0] - 2 * first, -first), (pairs[first][0] - 2 * first, -first))
+        score = 2 * last + 1 - pairs[last][0] + lead[0]
+        if best is None or score > best[0]:
+            best = (score, -lead[1], last)
+    return best
+
+
+def _place(words: list[str], start: int, floor: int, limit: int, pattern: list[str], need: int) -> tuple[int, int, int] | None:
+    """Words aligned, first and behind last word, of the best place in the windows from ``start`` on, between two bounds."""
+    size, best = len(pattern), None
+
+    def look(begin: int, end: int) -> list[tuple[int, int]]:
+        nonlocal best
+        begin, end = max(begin, floor), min(end, limit)
+        pairs = align(words[begin:end], pattern) if end - begin >= need else []
+        if len(pairs) < need:
+            return []
+        score, first, last = _densest(pairs, need)
+        place = (score, last - first + 1, -(begin + pairs[first][0]), begin + pairs[last][0] + 1)
+        best = place if best is None else max(best, place)
+        return [(begin + i, j) for i, j in (pairs[first], pairs[last])]
+
+    for length in (size, size + size // 4 + 1, 2 * size + _step(size)):
+        for i, j in look(start, start + length):
+            if (i - j, i - j + size) != (start, start + size):
+                look(i - j, i - j + size)
+        if best and best[0] == size:  # nothing is better than a notice without changes
+            break
+    return best and (best[1], -best[2], best[3])
+
+
+def _step(size: int) -> int:
+    return max(1, size // 8)
 
 
 def _places(words: list[str], pattern: list[str], wanted: Counter, need: int) -> list[tuple[int, int, int]]:
-    """Places that align ``need`` words, none overlapping, in order: those that align most words together, in the shortest spans."""
-    at, size, past = [i for i, w in enumerate(words) if w in wanted], len(pattern), 0
-    found: set[tuple[int, int, int]] = set()
-    for start, bag in zip(at, _bags(words, at, wanted, 2 * size)):
+    """Places that align ``need`` words, none overlapping, in order."""
+    at, size = [i for i, w in enumerate(words) if w in wanted], len(pattern)
+    out: list[tuple[int, int, int]] = []
+    floor = past = 0
+    for start, bag in zip(at, _bags(words, at, wanted, 2 * size + _step(size))):
         if bag < need or start < past:
             continue
-        # the long window bridges inserted words, the short ones keep it from reaching into the next notice
-        for end in (start + size, start + size + size // 4 + 1):
-            if pairs := align(words[start:end], pattern):
-                found.add((len(pairs), start + pairs[0][0], start + pairs[-1][0] + 1))
-        if (size, start, start + size) in found:  # nothing overlaps a notice without changes
-            past = start + size
-        else:
-            found.add(_aligned(words, start, min(len(words), start + 2 * size), pattern))
-    places = sorted((p for p in found if p[0] >= need), key=lambda p: (p[2], p[1]))
-    ends = [end for _, _, end in places]
-    best: list[tuple[int, int, int]] = [(0, 0, -1)]  # words aligned and spans of the first places, and the last one taken
-    for k, (n, first, end) in enumerate(places):
-        before = best[bisect_right(ends, first, 0, k)]
-        best.append(max(best[-1], (before[0] + n, before[1] - (end - first), k), key=lambda b: b[:2]))
-    out, k = [], best[-1][2]
-    while k >= 0:
-        out.append(places[k])
-        k = best[bisect_right(ends, places[k][1], 0, k)][2]
-    return out[::-1]
+        place = _place(words, start, floor, len(words), pattern, need)
+        if place is None:
+            past = start + _step(size)
+            continue
+        while earlier := place[1] - start >= need and _place(words, start, floor, place[1], pattern, need):
+            place = earlier
+        out.append(place)
+        floor = past = place[2]
+    return out
 
 
 def scan(text: str | None, licenses: dict[str, list[str]], coverage: float = 0.8, every: bool = False) -> list[tuple[str, float, int, int, int]]:
@@ -259,7 +284,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """A row per place of a license in a document: id, ``license``, ``coverage``, ``n_aligned``, ``first_word``, ``end_word``.
 
     Null and empty texts hold no license. Repeated rows are scanned each.
-    Places of one license do not overlap; places of different licenses can. If
+    Places of one license do not overlap; places of different licenses can. Of
+    Apache-2.0, GPL-3.0 and MPL-2.0 only the notices are known by default: their
+    whole texts are found if given as ``licenses``. If
     not ``every`` place is asked for, the best of each license is returned, of
     equally covered ones the first.
     """

@@ -457,6 +457,52 @@ def test_every_place_and_whole_texts_of_licenses(spark):
     assert {h[0]: h[1] for h in license_scan.scan(license_scan.LICENSES["BSD-2-Clause"], known)}.get("BSD-3-Clause", 0) < 1
 
 
+def longest_common(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_gaps_align_a_longest_common_subsequence():
+    rng = random.Random(6)
+    for _ in range(400):
+        letters = "abcdefgh"[: rng.randint(1, 8)]
+        a, b = (rng.choices(letters, k=rng.randint(1, 20)) for _ in "ab")
+        pairs = license_scan._common(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) == longest_common(a, b) >= len(license_scan.align(a, b))
+
+
+def test_alignments_grow_with_the_words(monkeypatch):
+    mit = license_scan.words_of(license_scan.LICENSES["MIT"])
+    changed = [w if i % 10 else "changed" for i, w in enumerate(mit)]
+    shuffled = random.Random(2).sample(mit, len(mit))
+    calls, align = [], license_scan.align
+    monkeypatch.setattr(license_scan, "align", lambda a, b: calls.append(len(a)) or align(a, b))
+    spent = {}
+    for name, notice in (("changed", changed), ("shuffled", shuffled)):
+        for n in (10, 40):
+            calls.clear()
+            found = license_scan.scan(" ".join(notice * n), {"MIT": mit}, every=True)
+            spent[name, n] = len(calls)
+            if name == "changed":  # the first word is a changed one, at the start of each notice
+                assert len(found) == n and all(h[1] > 0.85 and (h[3] % len(mit), h[4] % len(mit)) == (1, 0) for h in found)
+        assert spent[name, 40] < 5 * spent[name, 10] < 5 * 10 * 50
+    whole = license_scan.scan(" ".join(changed * 40), {k: license_scan.words_of(v) for k, v in license_scan.LICENSES.items()}, every=True)
+    assert sum(h[0] == "MIT" for h in whole) == 40
+
+
+def test_odd_rows_in_the_row_wise_operators(spark):
+    docs = odd_documents(spark)
+    assert license_scan.license_scan(docs).count() == 0 and license_scan.license_scan(docs.limit(0)).count() == 0
+    for rows in (docs, docs.limit(0)):
+        assert line_quality.line_quality(rows).count() == encode_documents(rows, public_tokenizers.path("word_bpe_49k.json")).count() == rows.count()
+        pages = rows.selectExpr("doc_id page_id", "source url", "text html", "size", "lang n_chars")
+        assert html_density.main_texts(pages).count() == rows.count()
+
+
 def test_pages_give_back_their_documents(spark):
     texts = {d["doc_id"]: d["text"] for d in documents(SMALL)}
     rows = queries.op10_html_density(spark, SMALL).collect()
