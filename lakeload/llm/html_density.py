@@ -4,17 +4,19 @@ A page is read into a tree of elements. For every element, the density is its
 characters per tag, raised where few of the characters are link text and
 lowered where many are, compared with the page as a whole. An element's density
 sum is that of its children. The element with the greatest sum is the main
-text; headings, paragraphs and sections beside it belong to it. The least
-density on its path from the body is the threshold: every other block on the
-page that reaches it is kept too, unless a third of its characters or more are
-link text. Text that lies loose between blocks counts as a block.
+text, in an article too; headings, paragraphs and sections beside it belong to
+it. The least density on its path from the body is the threshold: every other
+block on the page that reaches it is kept too, unless a third of its characters
+or more are link text. Text that lies loose between blocks counts as a block.
 Parts that are never article text - scripts, styles, navigation, headers and
 footers of the page, sidebars, forms, notices, adverts, reader comments - are
 left out before the densities are computed, by element, role or whole class
-name or id; a heading's id says nothing, as it is made from its words. Inside
-an article an element so named is left out only if a third of its characters
-or more are link text or, headings and paragraphs aside, if it is less than a
-third as dense as the article.
+name or id; a heading's id says nothing, as it is made from its words.
+Containers whose name leaves no doubt (comments, adverts, cookie banners,
+newsletters) go wherever they stand. Inside an article an element with another
+such name is left out only if a third of its characters or more are link text
+or, headings and paragraphs aside, if it is less than a third as dense as the
+article. Reading takes time in proportion to the page, however deep it is.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -68,9 +71,19 @@ _NAMES = re.compile(
     r"(?:(?:site|page|top|bottom|left|right|primary|secondary|global|header|mobile|sticky|wp|js)[_-])*"
     rf"{_FURNITURE}(?:[_-](?:{_FURNITURE}|area|bar|block|box|btn|buttons?|container|icons?|inner|list|links?|outer|panel|posts|slot|wrap|wrapper|\d+))*"
 )
+# names of what no article is made of: such containers go wherever they stand
+_CERTAIN = re.compile(
+    r"(?:(?:user|reader|article|post|page|entry|view|site|google|wp|js|top|bottom|side|inline)[_-])*"
+    r"(?:ads?|adverts?|advertisement|advertising|sponsored|comments|comment[_-]?(?:list|section|area|thread)|disqus(?:[_-]thread)?|cookies?[_-](?:banner|notice|bar|consent)"
+    r"|consent[_-]banner|gdpr|newsletter|popup|breadcrumbs?)(?:[_-](?:area|bar|block|box|container|form|inner|list|outer|panel|section|signup|slot|thread|unit|wrap|wrapper|\d+))*"
+)
+_CONTAINERS = frozenset("aside div dl iframe ins ol section table td ul".split())
 _KEEP = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story)(?:$|[\s_-])")
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
+_TABLE_PARTS = frozenset("table tr tbody thead tfoot".split())
+_CELLS = ("td", "th", "table")
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
@@ -80,7 +93,7 @@ _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 
 
 class _Node:
-    __slots__ = ("name", "children", "parent", "in_article", "in_p", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "holds")
+    __slots__ = ("name", "children", "parent", "in_article", "in_p", "named", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "holds", "depth")
 
     def __init__(self, name: str, parent: _Node | None) -> None:
         self.name, self.parent, self.named = name, parent, False
@@ -88,6 +101,7 @@ class _Node:
         # what an element lies in is handed down, so that deep pages take no walk up for every element
         self.in_article = name in ("article", "main") or (parent is not None and parent.in_article)
         self.in_p = name == "p" or (parent is not None and parent.in_p and name not in _P_LIMITS)
+        self.depth = parent.depth + 1 if parent is not None else 0
 
 
 def _dropped(name: str, attributes: dict[str, str], within_article: bool) -> bool:
@@ -109,11 +123,39 @@ def _furniture(name: str, attributes: dict[str, str]) -> bool:
     return any(map(_NAMES.fullmatch, names)) and not _KEEP.search(f"{kinds} {own}")
 
 
+def _certain(name: str, attributes: dict[str, str]) -> bool:
+    """Whether a container's class names, or its id where no heading's words made it, leave no doubt that it is furniture."""
+    if name not in _CONTAINERS:
+        return False
+    kinds, own = (re.sub(r"(?<=[a-z])(?=[A-Z])", "-", attributes.get(k, "")).lower() for k in ("class", "id"))
+    return any(map(_CERTAIN.fullmatch, kinds.split() + (own.split() if name != "section" else [])))
+
+
 def parse(page: str) -> _Node:
     """The page's tree without the parts that are never article text."""
     root = node = _Node("body", None)
+    path, held = [root], defaultdict(list)  # open elements, in all and by name
+
+    def leave(depth: int) -> _Node:
+        """Close all open elements from a depth on; the innermost that stays open."""
+        while len(path) > depth:
+            held[path.pop().name].pop()
+        return path[-1]
+
+    def close(names: set[str], limits: set[str]) -> _Node:
+        """Close the outermost open element of one of the names, if no limit is in between."""
+        limit = max((held[n][-1].depth for n in limits if held[n]), default=0)
+        depth = len(path)
+        for n in names:
+            for up in reversed(held[n]):
+                if up.depth <= limit:
+                    break
+                depth = min(depth, up.depth)
+        return leave(depth)
+
     at, size = 0, len(page)
     skipped: list[str] = []  # open elements below and with a dropped one
+    closing: Counter[str] = Counter()  # of the same, by name
     while at < size:
         found = _TOKEN.search(page, at)
         start = found.start() if found else size
@@ -129,15 +171,17 @@ def parse(page: str) -> _Node:
         attributes = found[3]
         if found[1]:
             if skipped:
-                if name in skipped:
-                    while skipped.pop() != name:
-                        pass
+                if closing[name]:
+                    while True:
+                        last = skipped.pop()
+                        closing[last] -= 1
+                        if last == name:
+                            break
                 continue
-            up = node
-            while up is not None and up.name != name:
-                up = up.parent if up.name not in ("td", "th", "table") or name in ("table", "tr", "tbody", "thead", "tfoot") else None
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if held.get(name):
+                depth = held[name][-1].depth
+                if name in _TABLE_PARTS or depth >= max((held[n][-1].depth for n in _CELLS if held[n]), default=0):
+                    node = leave(depth)
             continue
         closed = attributes.endswith("/") and name not in _BLOCKS
         if name in _RAW or name in _ESCAPABLE:
@@ -148,43 +192,37 @@ def parse(page: str) -> _Node:
         if skipped:
             if name not in _VOID and not closed:
                 if name in _ENDS_WITH and len(skipped) > 1 and skipped[-1] in _ENDS_WITH[name][0]:
-                    skipped.pop()
+                    closing[skipped.pop()] -= 1
                 skipped.append(name)
+                closing[name] += 1
             continue
         if name in ("html", "body"):
             continue
         if name in _CLOSES_P and node.in_p:
-            node = _close(node, {"p"}, _P_LIMITS)
+            node = close({"p"}, _P_LIMITS)
         if name in _ENDS_WITH:
-            node = _close(node, *_ENDS_WITH[name])
+            node = close(*_ENDS_WITH[name])
         if name in _VOID:
             if name in ("br", "hr", "img"):
                 node.children.append(_Node(name, node))
             continue
         given = {a.lower(): html.unescape(x or y or z) for a, x, y, z in _ATTRIBUTE.findall(attributes)} if attributes else {}
         furniture = _furniture(name, given)
-        if _dropped(name, given, node.in_article) or furniture and not node.in_article:
+        if _dropped(name, given, node.in_article) or furniture and not node.in_article or _certain(name, given):
             if not closed:
                 skipped.append(name)
+                closing[name] += 1
             continue
         below = _Node(name, node)
         below.named = furniture
         node.children.append(below)
         if not closed:
             node = below
+            path.append(below)
+            held[name].append(below)
     return root
 
 
-def _close(node: _Node, names: set[str], limits: set[str]) -> _Node:
-    """The parent of the outermost open element of a name, if no limit is in between."""
-    up = out = node
-    while up.parent is not None and up.name not in limits:
-        if up.name in names:
-            out = up.parent
-        up = up.parent
-    return out
-
-
 def _postorder(root: _Node) -> Iterator[_Node]:
     stack: list[tuple[_Node, bool]] = [(root, False)]
     while stack:
@@ -232,8 +270,7 @@ def _measure(root: _Node) -> None:
     for node in nodes:
         node.density = _density(node, share)
         own = sum(child.density for child in node.children if not isinstance(child, str))
-        loose = sum(len(child.strip()) for child in node.children if isinstance(child, str))
-        node.sum = own + (loose if node.children and any(not isinstance(x, str) for x in node.children) else 0) + (node.density if not own else 0.0)
+        node.sum = own or node.density
         node.best = node
         for child in node.children:
             if not isinstance(child, str) and child.best.sum > node.best.sum:
@@ -275,11 +312,6 @@ def _main_parts(root: _Node) -> list[_Node]:
     while best.parent is not None and best.parent.parent is not None and any(_beside(c) for c in best.parent.children if c is not best):
         best = best.parent
     threshold, share = min(node.density for node in path), root.link_chars / root.chars
-    article = best
-    while article is not None and article.name not in ("article", "main"):
-        article = article.parent
-    if article is not None:
-        best = article
     above, up = set(), best.parent
     while up is not None:
         above.add(up)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -568,6 +569,35 @@ def test_deeply_nested_pages():
     assert html_density.extract("<div>" * 20_000 + inside * 2) == "\n\n".join([inside[3:-4]] * 2)
 
 
+def test_deep_pages_take_linear_time():
+    spent = {}
+    for n in (4_000, 40_000):
+        pages = ["<div>" * n + "x" + "</i>" * n, "<div>" * n + "<li>x" * n, "".join(f"<t{i}>" for i in range(n)) + "x" + "</b>" * n, "<form>" + "<b>" * n + "</i>" * n]
+        begun = time.process_time()
+        for page in pages:
+            html_density.parse(page)
+        spent[n] = time.process_time() - begun
+    assert spent[40_000] < 30 * spent[4_000] + 1
+
+
+def test_certain_names_go_and_densities_decide(monkeypatch):
+    p = [f"Paragraph {i}. {'Words of a long paragraph. ' * 8}".strip() for i in range(8)]
+    body = "".join(f"<p>{t}</p>" for t in p[:5])
+    out = "".join(f'<{tag} class="{name}"><p>{p[6]}</p><p>{p[7]}</p></{tag}>' for tag, name in (
+        ("section", "comments"), ("div", "user-comments"), ("div", "article-comments"), ("div", "advert"), ("div", "comment-list"), ("aside", "x"), ("div", "cookie-banner"), ("div", "newsletter")))
+    for tag in ("article", "main", "div"):
+        assert html_density.extract(f"<body><{tag}><h1>Title</h1>{body}{out}</{tag}></body>").split("\n\n") == ["Title", *p[:5]]
+    links = "<div>" + "<p><a href=x>Another page of this site with a long name</a></p>" * 30 + "</div>"
+    plain, density = {}, html_density._density
+    for tag in ("article", "div"):
+        page = f"<body><{tag}>{links}<div>{body}</div>{links}</{tag}></body>"
+        plain[page] = html_density.extract(page)
+        assert plain[page].split("\n\n") == p[:5]
+    for other in (lambda node, share: 1.0, lambda node, share: 1 / (1 + density(node, share))):
+        monkeypatch.setattr(html_density, "_density", other)
+        assert all(html_density.extract(page) != text for page, text in plain.items())
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     columns = docs.columns
