@@ -6,8 +6,8 @@ of their own numbers of such strings. A bounded sample of the learnable texts
 serves as landmarks; Nyström features map the kernel with them to vectors, and
 one ridge regression per language separates it from the rest. Everything after
 the presence of strings is linear, so the landmarks, the Nyström map and the
-regression weights fold into one matrix, and texts are scored by products of
-presence blocks with it.
+regression weights fold into one matrix, and a batch of texts is scored by the
+product of its sparse presence matrix with it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakeload.llm.common import give_back, column, text_crc
 
@@ -45,6 +45,14 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))]
 
 
+def _places(known: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where the strings of a text that are known stand among all known ones."""
+    if not len(known):
+        return np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return at[known[at] == own]
+
+
 @dataclass(frozen=True)
 class KernelModel:
     """Folded weights: one row per known string, one column per language."""
@@ -56,17 +64,12 @@ class KernelModel:
 
     def values(self, texts: list[str]) -> np.ndarray:
         """The regressions' values, a row per text."""
-        out = np.empty((len(texts), len(self.languages)), np.float64)
-        for start in range(0, len(texts), _BLOCK):
-            block = texts[start : start + _BLOCK]
-            presence = np.zeros((len(block), len(self.strings)), np.float32)
-            norm = np.ones(len(block))
-            for i, text in enumerate(block):
-                own = strings_of(text)
-                norm[i] = np.sqrt(max(len(own), 1))
-                at = np.minimum(np.searchsorted(self.strings, own), len(self.strings) - 1)
-                presence[i, at[self.strings[at] == own]] = 1
-            out[start : start + len(block)] = (presence @ self.weights) / norm[:, None]
+        out = np.zeros((len(texts), len(self.languages)), np.float64)
+        for i, text in enumerate(texts):
+            own = strings_of(text)
+            # a row of the sparse product: the weights of the strings present
+            at = _places(self.strings, own)
+            out[i] = self.weights[at].sum(axis=0, dtype=np.float64) / np.sqrt(max(len(own), 1))
         return out + self.constant
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -83,28 +86,26 @@ class KernelModel:
         return names, scores
 
 
-def fit(texts: list[str], languages: list[str], landmarks: int = 240, ridge: float = 1e-3) -> KernelModel:
-    """Learn from texts; landmarks are the first ones of each language in turn."""
+def fit(strings: list[np.ndarray], languages: list[str], landmarks: int = 240, ridge: float = 1e-3) -> KernelModel:
+    """Learn from the strings of texts; landmarks are the first texts of each language in turn, two of each at least."""
     names = tuple(sorted(set(languages)))
     if not names:
         return KernelModel((), np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros(0))
-    strings = [strings_of(t) for t in texts]
     by_name = {n: [i for i, x in enumerate(languages) if x == n and len(strings[i])] for n in names}
     turns = [i for group in zip(*(by_name[n] + [None] * (max(map(len, by_name.values())) - len(by_name[n])) for n in names)) for i in group if i is not None]
-    marks = turns[:landmarks]
+    marks = turns[: max(landmarks, 2 * len(names))]
     if not marks:
         return KernelModel((), np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros(0))
     known = _distinct(np.concatenate([strings[i] for i in marks]))
     held = np.zeros((len(known), len(marks)), np.float32)
     for j, i in enumerate(marks):
         held[np.searchsorted(known, strings[i]), j] = 1 / np.sqrt(len(strings[i]))
-    kernel = np.empty((len(texts), len(marks)))
-    for start in range(0, len(texts), _BLOCK):
+    kernel = np.empty((len(strings), len(marks)))
+    for start in range(0, len(strings), _BLOCK):
         block = strings[start : start + _BLOCK]
         presence = np.zeros((len(block), len(known)), np.float32)
         for i, own in enumerate(block):
-            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            presence[i, at[known[at] == own]] = 1 / np.sqrt(max(len(own), 1))
+            presence[i, _places(known, own)] = 1 / np.sqrt(max(len(own), 1))
         kernel[start : start + len(block)] = presence @ held
     among = kernel[marks]
     value, vector = np.linalg.eigh((among + among.T) / 2)
@@ -114,35 +115,36 @@ def fit(texts: list[str], languages: list[str], landmarks: int = 240, ridge: flo
     wanted = np.array([[float(x == n) for n in names] for x in languages])
     middle, share = features.mean(axis=0), wanted.mean(axis=0)
     centred = features - middle
-    w = np.linalg.solve(centred.T @ centred + ridge * len(texts) * np.eye(centred.shape[1]), centred.T @ (wanted - share))
+    w = np.linalg.solve(centred.T @ centred + ridge * len(strings) * np.eye(centred.shape[1]), centred.T @ (wanted - share))
     return KernelModel(names, known, (held @ (nystroem @ w)).astype(np.float32), share - middle @ w)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_out: int = 1, sample: int = 1600, longest: int = 20_000) -> KernelModel:
-    """Fit on at most ``sample`` texts with a language outside the held-out fold, of every language alike.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_out: int = 1, sample: int = 1600, longest: int = 200_000) -> KernelModel:
+    """Fit on a bounded sample of whole texts with a language outside the held-out fold, of every language alike.
 
-    Up to ``sample`` divided by the number of languages are taken of each, those
-    least by a hash of the id. The sample's texts, and only those, are cut to
-    ``longest`` code points, which bounds what the driver holds.
+    Up to ``sample`` divided by the number of languages, four at least, are taken
+    of each language, those least by a hash of the id. Texts above ``longest``
+    bytes are chosen only for languages that have too few others, and then whole.
+    Tasks send the strings of the chosen texts, not the texts. The documents are
+    read twice, however many languages there are.
     """
     fold = text_crc(id_col) % folds
     able = docs.where(column(lang_col).isNotNull() & column(text_col).isNotNull() & column(id_col).isNotNull() & (fold != held_out))
     able = able.select(column(id_col).cast("long").alias("id"), column(lang_col).cast("string").alias("lang"), column(text_col).cast("string").alias("text"))
-    counts = able.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample // 4).collect()
-    each = max(4, sample // max(len(counts), 1))
-    rows = []
-    for name, n in counts:
-        some = able.where(F.col("lang") == name).withColumn("text", F.substring("text", 1, longest))
-        # the least hashes lie below a bound that few rows pass, so that not every task sends as many as are wanted
-        few = some.where(F.xxhash64("id") < int(2**64 * 4 * each / n) - 2**63) if n > 4 * each else some
-        least = few.orderBy(F.xxhash64("id"), "id", "text").limit(each).collect()
-        if len(least) < min(each, n):  # ids that repeat much can leave too few below the bound
-            least = some.orderBy(F.xxhash64("id"), "id", "text").limit(each).collect()
-        rows += least
-    rows.sort(key=lambda r: (r["lang"], r["id"], r["text"]))
-    # the first landmarks of a language should be any, not the smallest ids
-    rows = [rows[i] for i in np.random.default_rng(0).permutation(len(rows))]
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    each = max(4, sample // max(able.select("lang").distinct().count(), 1))
+    order = [F.octet_length("text") > longest, F.xxhash64("id"), F.col("id"), F.col("text")]
+    # every task keeps the first rows of each language before the shuffle, so a frequent language is no heavier than a rare one
+    some = able.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("nth") <= each)
+
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [strings_of(t).tobytes() for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["nth"], pa.array(held, pa.binary())], names=["lang", "nth", "strings"])
+        give_back()
+
+    rows = some.select("lang", "nth", "text").mapInArrow(presence, "lang string, nth int, strings binary").collect()
+    rows.sort(key=lambda r: (r["lang"], r["nth"]))
+    return fit([np.frombuffer(r["strings"], np.uint64) for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

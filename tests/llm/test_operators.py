@@ -337,7 +337,7 @@ def test_language_held_out(spark):
 def test_language_sample_is_the_same_below_the_bound(spark, monkeypatch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     seen = []
-    monkeypatch.setattr(language_kernel, "fit", lambda texts, languages: seen.append(sorted(zip(texts, languages))))
+    monkeypatch.setattr(language_kernel, "fit", lambda strings, languages: seen.append(sorted((x.tobytes(), n) for x, n in zip(strings, languages))))
     language_kernel.train(docs, sample=40)
     able = [d for d in documents(SMALL) if d["lang"] is not None and d["text"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 3 != 1]
     order = {r[0]: r[1] for r in docs.selectExpr("doc_id", "xxhash64(doc_id)").collect()}
@@ -345,10 +345,40 @@ def test_language_sample_is_the_same_below_the_bound(spark, monkeypatch):
     expected = []
     for name in {d["lang"] for d in able}:
         of = sorted((d for d in able if d["lang"] == name), key=lambda d: order[d["doc_id"]])
-        expected += [(d["text"][:20_000], name) for d in of[:each]]
+        expected += [(language_kernel.strings_of(d["text"]).tobytes(), name) for d in of[:each]]
     assert seen == [sorted(expected)]
 
 
+def test_language_values_are_those_of_a_dense_kernel_ridge():
+    docs = [d for d in documents(SMALL) if d["lang"] and d["text"]][:200]
+    texts, languages = [d["text"][:3000] for d in docs], [d["lang"] for d in docs]
+    names = sorted(set(languages))
+    spectrum = [{t.lower()[i : i + n] for n in range(1, 5) for i in range(len(t.lower()) - n + 1)} for t in texts]
+    kernel = np.array([[len(a & b) / math.sqrt(len(a) * len(b)) for b in spectrum] for a in spectrum])
+    learned, new = range(120), range(120, 200)
+    # all learned texts are landmarks, so that the kernel is the whole one
+    model = language_kernel.fit([language_kernel.strings_of(texts[i]) for i in learned], languages[:120], landmarks=120, ridge=1e-3)
+    wanted = np.array([[float(x == n) for n in names] for x in languages[:120]])
+    centre = np.eye(120) - 1 / 120
+    inner = centre @ kernel[:120, :120] @ centre
+    dual = np.linalg.solve(inner + 1e-3 * 120 * np.eye(120), wanted - wanted.mean(axis=0))
+    across = (kernel[120:, :120] - kernel[:120, :120].mean(axis=0)) @ centre
+    assert model.languages == tuple(names)
+    assert np.allclose(model.values([texts[i] for i in new]), across @ dual + wanted.mean(axis=0), atol=1e-3)
+
+
+def test_every_language_is_learned_from_whole_texts(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(9)
+    own = ["".join(rng.sample(letters, 6)) for _ in range(420)]
+    rows = [(i, " ".join("".join(rng.choices(own[i % 420], k=5)) for _ in range(30)), f"l{i % 420}") for i in range(420 * 6)]
+    rows += [(10_000 + i, "z" * 30_000 + " späte wörter", "long") for i in range(20)]
+    model = language_kernel.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 421
+    # strings that stand only late in a long text are known
+    assert np.isin(language_kernel.strings_of("wört"), model.strings).all()
+
+
 def test_odd_texts_in_language(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     model = language_kernel.train(docs)
