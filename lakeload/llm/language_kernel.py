@@ -12,6 +12,7 @@ product of its sparse presence matrix with it.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -126,23 +127,36 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     of each language, those least by a hash of the id. Texts above ``longest``
     bytes are chosen only for languages that have too few others, and then whole.
     Tasks send the strings of the chosen texts, not the texts. The documents are
-    read twice, however many languages there are.
+    read twice, however many languages there are, and a third time only where ids
+    repeat so much that too few rows lie below a bound of the hash.
     """
     fold = text_crc(id_col) % folds
     able = docs.where(column(lang_col).isNotNull() & column(text_col).isNotNull() & column(id_col).isNotNull() & (fold != held_out))
     able = able.select(column(id_col).cast("long").alias("id"), column(lang_col).cast("string").alias("lang"), column(text_col).cast("string").alias("text"))
-    each = max(4, sample // max(able.select("lang").distinct().count(), 1))
-    order = [F.octet_length("text") > longest, F.xxhash64("id"), F.col("id"), F.col("text")]
-    # every task keeps the first rows of each language before the shuffle, so a frequent language is no heavier than a rare one
-    some = able.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("nth") <= each)
+    able = able.withColumn("long", F.octet_length("text") > longest)
+    counts = able.groupBy("lang").agg(F.sum(F.when(F.col("long"), 0).otherwise(1)).alias("n")).collect()
+    each = max(4, sample // max(len(counts), 1))
+    spark = docs.sparkSession
+    # few rows pass the bound, so that what is shuffled does not grow with the number of tasks
+    bounds = [(name, int(2**64 * 4 * each / n) - 2**63 if n > 4 * each else 2**63 - 1) for name, n in counts]
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [strings_of(t).tobytes() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["lang"], batch["nth"], pa.array(held, pa.binary())], names=["lang", "nth", "strings"])
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["nth"], batch["long"], pa.array(held, pa.binary())], names=["lang", "nth", "long", "strings"])
         give_back()
 
-    rows = some.select("lang", "nth", "text").mapInArrow(presence, "lang string, nth int, strings binary").collect()
+    def chosen(bounds: list[tuple[str, int]]) -> list:
+        near = able.join(spark.createDataFrame(bounds, "lang string, bound long"), "lang").where(F.xxhash64("id") <= F.col("bound"))
+        order = Window.partitionBy("lang").orderBy("long", F.xxhash64("id"), "id", "text")
+        some = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= each)
+        return some.select("lang", "nth", "long", "text").mapInArrow(presence, "lang string, nth int, long boolean, strings binary").collect()
+
+    rows = chosen(bounds)
+    found = Counter(r["lang"] for r in rows if not r["long"])
+    few = {name for name, n in counts if found[name] < min(each, n)}
+    if few:
+        rows = [r for r in rows if r["lang"] not in few] + chosen([(name, 2**63 - 1) for name in sorted(few)])
     rows.sort(key=lambda r: (r["lang"], r["nth"]))
     return fit([np.frombuffer(r["strings"], np.uint64) for r in rows], [r["lang"] for r in rows])
 
