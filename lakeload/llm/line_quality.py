@@ -32,7 +32,8 @@ _FURNITURE = re.compile(
     r"(?i)\b(?:cookie|privacy policy|terms of (?:use|service)|all rights reserved|sign (?:in|up)|log ?in|subscribe"
     r"|newsletter|click here|read more|share (?:this|on)|skip to|javascript|back to top|lorem ipsum|follow us)\b"
 )
-_CLOSING = tuple(".!?:;\"'”’»…)]}。！？")
+# fixed values: what ends a sentence, in Indic, Arabic, Ethiopic, Armenian, Burmese, Khmer and Tibetan scripts too
+_CLOSING = tuple(".!?:;\"'”’»…)]}。！？।॥؟۔؛።፧፨։။។༎")
 
 
 def _count(text: str, symbols: str) -> int:

@@ -273,6 +273,9 @@ def test_line_rules():
     assert line_quality.judge(f"{menu}\n" * 3 + "Words of no weight here.", rules)["kept"] is False
     assert line_quality.judge("EVERY WORD OF THIS LINE IS SHOUTED AT YOU NOW.", rules)["kept"] is False
     assert line_quality.judge(None, rules)["kept"] is False
+    for word, end in (("नदी", "।"), ("نهر", "؟"), ("دریا", "۔"), ("ወንዝ", "።"), ("river", ".")):
+        assert line_quality.judge(" ".join([word + str(i) for i in range(20)]) + end, rules)["kept"] is True
+        assert line_quality.judge(" ".join([word + str(i) for i in range(20)]), rules)["kept"] is False
 
 
 def test_bpe_like_the_library(spark):
