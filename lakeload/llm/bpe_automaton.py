@@ -18,7 +18,7 @@ state of the path to that position. These sets are the rows of a transition
 table, which is filled in as words need them: (row, symbol) gives the token
 that ends here and the next row. Encoding is one table step per symbol, then
 the path is read back from the end. Table and whole words are kept per Python
-worker, in bounded numbers. Decoding emits the labels of the arcs.
+worker, in bounded numbers of bytes. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +39,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakeload.llm.common import column, give_back, no_cycle_search
 
-_WORDS_KEPT = 150_000
+_WORD_BYTES = 16 << 20  # of the words met since the last change of generations, and of those before
 _LONGEST_KEPT = 64
-_ROWS_KEPT = 80_000
+_TABLE_BYTES = 48 << 20
 _ROWS_AT_ONCE = 256
 
+# What an entry takes of memory, places in dictionaries and numbers included.
+_WORD_COST = 55  # beside its two texts
+_ROW_COST = 110  # beside its labels
+_STEP_COST = 120
+
 
 START = -1
+_SYMBOL_BITS = 21
+_LOW = (1 << 32) - 1
 
 
 class Automaton:
@@ -62,19 +71,19 @@ class Automaton:
                 self._lost[first << 32 | second] = number
             else:
                 idle.add(both)  # the merge finds nothing to merge: no state gets an arc
-        # labels as a tree over symbols: children, the token inside a word and the token at its end
-        self._children: list[dict[str, int]] = [{}]
-        self._inner, self._final = [-1], [-1]
+        # labels as a tree over symbols: child by node and symbol, the token inside a word and the token at its end
+        self._child: dict[int, int] = {}
+        self._inner, self._final = array("i", [-1]), array("i", [-1])
         for label, token in vocab.items():
             if token in idle:
                 continue
             closes = bool(word_end) and label.endswith(word_end)
             node = 0
             for symbol in label[: len(label) - len(word_end)] if closes else label:
-                below = self._children[node].get(symbol)
+                arc = node << _SYMBOL_BITS | ord(symbol)
+                below = self._child.get(arc)
                 if below is None:
-                    below = self._children[node][symbol] = len(self._children)
-                    self._children.append({})
+                    below = self._child[arc] = len(self._inner)
                     self._inner.append(-1)
                     self._final.append(-1)
                 node = below
@@ -82,13 +91,24 @@ class Automaton:
                 self._final[node] = token
             if not closes:
                 self._inner[node] = token
-        self._lengths = {t: len(label) - (len(word_end) if word_end and label.endswith(word_end) else 0) for label, t in vocab.items()}
+        self._grows = bytearray(len(self._inner))  # whether a node has children
+        for arc in self._child:
+            self._grows[arc >> _SYMBOL_BITS] = 1
+        self._made, self._left, self._right = (array("i", x) for x in (self._made, self._left, self._right))
+        self._lengths = array("i", [0]) * size
+        for label, token in vocab.items():
+            self._lengths[token] = len(label) - (len(word_end) if word_end and label.endswith(word_end) else 0)
         self._forget()
 
     def _forget(self) -> None:
         """Start the transition table anew."""
-        self._start = _Row(((0, START),))
-        self._rows = {self._start.growing: self._start}
+        start = array("q", [START + 1]).tobytes()
+        # Of a row, all (how far a label has grown, state of the path to where it began), packed.
+        self._growing = [start]
+        self._rows = {start: 0}
+        self._steps: dict[int, int] = {}  # by row and symbol, the next row and the token that ends there
+        self._ends: dict[int, int] = {}  # by row and symbol, the token that ends a word
+        self.held = 0  # bytes, about
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether the state that a token's arcs lead to (START: where words begin) has an arc for a token."""
@@ -105,62 +125,73 @@ class Automaton:
             before, state = min(before, made[state]), right[state]
         return True
 
-    def _ending(self, growing: tuple, symbol: str, tokens: list[int]) -> tuple[int, list[tuple[int, int]]]:
+    def _ending(self, row: int, symbol: int, tokens: array) -> tuple[int, array]:
         """The token that ends the path with this symbol, and the labels that grow by the symbol."""
-        grown, found = [], -1
-        for node, state in growing:
-            below = self._children[node].get(symbol)
+        grown, found = array("q"), -1
+        for label in memoryview(self._growing[row]).cast("q"):
+            below = self._child.get(label >> 32 << _SYMBOL_BITS | symbol)
             if below is None:
                 continue
-            if self._children[below]:
-                grown.append((below, state))
+            state = label & _LOW
+            if self._grows[below]:
+                grown.append(below << 32 | state)
             token = tokens[below]
-            if found < 0 and token >= 0 and self.has_arc(state, token):
+            if found < 0 and token >= 0 and self.has_arc(state - 1, token):
                 found = token
         if found < 0:
-            raise ValueError(f"no token ends with {symbol!r}")
+            raise ValueError(f"no token ends with {chr(symbol)!r}")
         return found, grown
 
-    def _step(self, row: _Row, symbol: str) -> tuple[_Row, int, int]:
-        token, grown = self._ending(row.growing, symbol, self._inner)
-        after = (*grown, (0, token))
+    def _step(self, row: int, symbol: int) -> int:
+        token, grown = self._ending(row, symbol, self._inner)
+        grown.append(token + 1)
+        after = grown.tobytes()
         below = self._rows.get(after)
         if below is None:
-            below = self._rows[after] = _Row(after)
-        found = row[symbol] = (below, token, self._lengths[token])
+            below = self._rows[after] = len(self._growing)
+            self._growing.append(after)
+            self.held += _ROW_COST + len(after)
+        self.held += _STEP_COST
+        found = self._steps[row << _SYMBOL_BITS | symbol] = below << 32 | token
         return found
 
     def encode(self, word: str) -> list[int]:
         """The tokens of one pre-split word."""
-        if len(self._rows) > _ROWS_KEPT:
-            self._forget()
         if not word:
             return []
-        row, path = self._start, []
-        for symbol in word[:-1]:
-            found = row.get(symbol) or self._step(row, symbol)
-            row = found[0]
+        known, row, path = self._steps.get, 0, []
+        symbols = list(map(ord, word))
+        final = symbols.pop()
+        for symbol in symbols:
+            found = known(row << _SYMBOL_BITS | symbol)
+            if found is None:
+                if self.held > _TABLE_BYTES:  # the row on hand goes on in the new table
+                    row = self._renew(row)
+                    known = self._steps.get
+                found = self._step(row, symbol)
             path.append(found)
-        last = row.last.get(word[-1])
+            row = found >> 32
+        last = self._ends.get(row << _SYMBOL_BITS | final)
         if last is None:
-            last = row.last[word[-1]] = self._ending(row.growing, word[-1], self._final)[0]
-        tokens, at = [last], len(word) - self._lengths[last]
+            last = self._ends[row << _SYMBOL_BITS | final] = self._ending(row, final, self._final)[0]
+            self.held += _STEP_COST
+        lengths = self._lengths
+        tokens, at = [last], len(word) - lengths[last]
         while at:
-            _, token, length = path[at - 1]
+            token = path[at - 1] & _LOW
             tokens.append(token)
-            at -= length
+            at -= lengths[token]
         tokens.reverse()
         return tokens
 
-
-class _Row(dict):
-    """A row of the transition table: by symbol, the next row and the token that ends there."""
-
-    __slots__ = ("growing", "last")
-
-    def __init__(self, growing: tuple) -> None:
-        self.growing = growing  # (how far a label has grown, state of the path to where it began)
-        self.last: dict[str, int] = {}  # by symbol, the token that ends a word
+    def _renew(self, row: int) -> int:
+        """Start the table anew with the start and this row; the row's new number."""
+        growing = self._growing[row]
+        self._forget()
+        if growing not in self._rows:
+            self._rows[growing] = len(self._growing)
+            self._growing.append(growing)
+        return self._rows[growing]
 
 
 # The steps of the tokenizer files that the quick word split stands for.
@@ -214,29 +245,25 @@ class Codec:
         self._marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.labels = {i: label for label, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
         self.numbers = {i: str(i) for i in self.labels}
+        self._label_of = {self.numbers[i]: label for i, label in self.labels.items()}  # by the id as text
         self._words = _Words(self)
 
-    def _parts(self, text: str) -> Iterator[tuple[int, str, str]]:
-        """The words of a text: number of tokens, the ids as text, and the decoded labels."""
+    def _parts(self, text: str) -> Iterator[str]:
+        """The ids of a text's words, as text."""
         for part in self._marks.split(text) if self._marks else [text]:
             if part in self.special:
-                token = self.special[part]
-                yield 1, str(token), part
+                yield self.numbers[self.special[part]]
             elif part:
-                words = self._words
-                if len(words) > _WORDS_KEPT:
-                    words.clear()
-                yield from map(words.__getitem__, self._pre_split(part))
+                yield from map(self._words.__getitem__, self._pre_split(part))
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in self.written(text)[1].split()]
 
     def written(self, text: str) -> tuple[int, str, str]:
         """The number of a text's tokens, their ids as text and the decoded text."""
-        parts = list(self._parts(text))
-        if not parts:
-            return 0, "", ""
-        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+        numbers = " ".join(self._parts(text))
+        ids = numbers.split()
+        return len(ids), numbers, " ".join(map(self._label_of.__getitem__, ids))
 
     def _pre_split(self, text: str) -> list[str]:
         """The words of a normalized text, as they are; the library's byte symbols are left for later."""
@@ -262,20 +289,30 @@ class Codec:
 
 
 class _Words(dict):
-    """Encoded words by their text, filled in as they come up."""
+    """The ids of words as text, filled in as they come up.
+
+    Words not met since the change of generations before the last are forgotten.
+    """
 
     def __init__(self, codec: Codec) -> None:
         super().__init__()
         self._codec = codec
-
-    def __missing__(self, word: str) -> tuple[int, str, str]:
-        codec = self._codec
-        symbols = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(codec._symbols)
-        ids = codec.automaton.encode(symbols)
-        numbers, labels = codec.numbers, codec.labels
-        found = (len(ids), " ".join([numbers[i] for i in ids]), " ".join([labels[i] for i in ids]))
+        self._before: dict[str, str] = {}
+        self.held = 0  # bytes of this generation, about
+
+    def __missing__(self, word: str) -> str:
+        found = self._before.get(word)
+        if found is None:
+            codec = self._codec
+            symbols = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(codec._symbols)
+            found = " ".join(map(codec.numbers.__getitem__, codec.automaton.encode(symbols)))
         if len(word) <= _LONGEST_KEPT:
+            if self.held > _WORD_BYTES:
+                self._before = self.copy()
+                self.clear()
+                self.held = 0
             self[word] = found
+            self.held += _WORD_COST + getsizeof(word) + getsizeof(found)
         return found
 
 
